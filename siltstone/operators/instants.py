@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.runtime import fence
+
 # Abbreviations that name one offset, in minutes east of UTC.
 ABBREVIATIONS = {
     "Z": 0, "UTC": 0, "GMT": 0, "UT": 0, "WET": 0, "WEST": 60, "BST": 60, "CET": 60, "CEST": 120, "EET": 120,
@@ -58,17 +60,18 @@ def instants(df: DataFrame, text: str, zone: str, date_order: str, out: str = "u
     """
     keep = keep or df.columns
     zones = known_zones(df.sparkSession)
-    base = df.withColumn("_slots", F.split(F.regexp_replace(F.col(text), PATTERN, _replacement()), MARK, -1))
+    slots = F.split(F.regexp_replace(F.col(text), PATTERN, _replacement()), MARK, -1)
+    base = fence(df.select(*keep, F.col(zone).alias("_zone"), F.col(date_order).alias("_order"), slots.alias("_slots")))
 
     def slot(s: str) -> Column:
         return F.when(F.size("_slots") == len(SLOTS), F.get("_slots", F.lit(SLOTS.index(s))))
 
     number = lambda s: slot(s).try_cast("int")
-    first, second, mdy = number("a"), number("b"), F.col(date_order) == "MDY"
+    first, second, mdy = number("a"), number("b"), F.col("_order") == "MDY"
     month_at = F.instr(F.lit(MONTHS), F.lower(F.substring(slot("k"), 1, 3)))
     parts = base.select(
         *keep,
-        F.col(zone).alias("_zone"),
+        "_zone",
         number("y").alias("_y"),
         F.coalesce(number("m"), F.when(mdy, first).otherwise(second), F.when((slot("k") != "") & (month_at % 3 == 1), F.floor(month_at / 3).cast("int") + 1)).alias("_m"),
         F.coalesce(number("d"), F.when(mdy, second).otherwise(first)).alias("_d"),
@@ -87,6 +90,7 @@ def instants(df: DataFrame, text: str, zone: str, date_order: str, out: str = "u
         F.col("_z").rlike(r"^[+-]"),
         F.when(sign == "-", -1).otherwise(1) * (F.substring(digits, 1, 2).try_cast("int") * 60 + F.coalesce(F.substring(digits, 3, 2).try_cast("int"), F.lit(0))),
     ).otherwise(F.try_element_at(abbr, F.col("_z")))
+    parts = fence(parts)
     checked = parts.select(
         *keep,
         "_y", "_m", "_d", "_n", "_s", "_f", "_e",
@@ -104,7 +108,7 @@ def instants(df: DataFrame, text: str, zone: str, date_order: str, out: str = "u
     y = "(_y - if(_m <= 2, 1, 0))"
     doy = "((153 * (_m + if(_m > 2, -3, 9)) + 2) div 5 + _d - 1)"
     days = f"(({y} div 400) * 146097 + ({y} % 400) * 365 + ({y} % 400) div 4 - ({y} % 400) div 100 + {doy} - 719468)"
-    local = checked.select(
+    local = fence(checked).select(
         *keep,
         "_off", "_tz",
         F.expr("case length(_e) when 10 then cast(_e as bigint) * 1000000 when 13 then cast(_e as bigint) * 1000 when 16 then cast(_e as bigint) when 19 then cast(_e as bigint) div 1000 end").alias("_epoch"),
@@ -112,7 +116,7 @@ def instants(df: DataFrame, text: str, zone: str, date_order: str, out: str = "u
     )
     day = 86_400_000_000
     zoned = F.col("_tz").isNotNull() & F.col("_local").isNotNull()
-    sides = local.select(
+    sides = fence(local).select(
         *keep, "_off", "_tz", "_epoch", "_local",
         F.when(zoned, _offset(F.col("_local") - day, F.col("_tz"))).alias("_before"),
         F.when(zoned, _offset(F.col("_local") + day, F.col("_tz"))).alias("_after"),
@@ -124,7 +128,8 @@ def instants(df: DataFrame, text: str, zone: str, date_order: str, out: str = "u
         .when(~fits("_before") & fits("_after"), F.col("_local") - F.col("_after"))
     )
     fixed = F.when(F.abs("_off") <= 18 * 60, F.col("_local") - F.col("_off").cast("bigint") * 60_000_000)
-    return sides.select(*keep, F.coalesce(F.col("_epoch"), F.when(F.col("_off").isNotNull(), fixed).otherwise(F.when(zoned, one))).alias(out))
+    sides = fence(sides)
+    return fence(sides.select(*keep, F.coalesce(F.col("_epoch"), F.when(F.col("_off").isNotNull(), fixed).otherwise(F.when(zoned, one))).alias(out)))
 
 
 def normalise_fields(df: DataFrame, key: str, fields: list[str], feeds: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.runtime import Scratch
+from siltstone.runtime import Scratch, fence
 
 MARK = "\u0001"
 
@@ -64,7 +64,7 @@ def with_amount(df: DataFrame, text: str, scaled: Column, out: str) -> DataFrame
     """Adds the number that a column's text writes. The last of two kinds of separator, or a lone one not followed by
     exactly three digits, is the decimal mark; beside a scale ("8,75k") a lone separator always is."""
     c = F.col(text)
-    marks = df.withColumn("_marks", F.regexp_replace(c, "[0-9]", "")).withColumn("_tail", F.regexp_extract(c, r"[.,](\d+)$", 1))
+    marks = fence(df.withColumn("_marks", F.regexp_replace(c, "[0-9]", "")).withColumn("_tail", F.regexp_extract(c, r"[.,](\d+)$", 1)))
     both = F.col("_marks").contains(".") & F.col("_marks").contains(",")
     lone = (F.length("_marks") == 1) & (scaled | (F.length("_tail") != 3))
     cut = marks.withColumn("_tail", F.when((F.col("_tail") != "") & (both | lone), F.col("_tail")).otherwise(""))
@@ -86,13 +86,13 @@ def statements(postings: DataFrame) -> DataFrame:
     """Adds _amount (decimal), _notation and _period, each null where the row states none."""
     field = F.lower(F.trim("salary_currency"))
     text = F.translate("job_summary", "\u00a0\u202f\u2009", "   ")
-    split = postings.select(
+    split = fence(postings.select(
         "*",
         _groups(field, rf"^(?<c>.+?)\s*(?:[-/]\s*|\s)/?(?<p>{_TIMES})$", "cp").alias("_cp"),
         _groups(text, PAY, "cakjep").alias("_pay"),
         _groups(text, PAY_CURRENCY, "c").alias("_pc"),
         _groups(text, PAY_PERIOD, "p").alias("_pp"),
-    )
+    ))
     blank = lambda c: F.when(F.trim(c) != "", F.lower(F.trim(c)))
     pay = lambda i: F.get("_pay", F.lit(i))
     vague = ["local", "n/a", "unknown", "none", "-"]
@@ -108,6 +108,7 @@ def statements(postings: DataFrame) -> DataFrame:
         _period(pay(6)).alias("_p3"),
         _period(F.get("_pp", F.lit(1))).alias("_p4"),
     )
+    parts = fence(parts)
     of_field = F.col("salary_min") > 0
     lakh = F.col("_scale").isin("lpa", "lakh", "lakhs")
     parts = parts.select(
@@ -117,7 +118,8 @@ def statements(postings: DataFrame) -> DataFrame:
         F.coalesce("_p3", F.when(F.col("_scale") == "lpa", "year"), "_p4").alias("_p3"),
         F.when(lakh, "lakh").when(F.col("_scale") == "k", "k").alias("_affix"),
     )
-    parts = with_amount(parts, "_number", F.col("_scale") != "", "_stated")
+    parts = with_amount(fence(parts), "_number", F.col("_scale") != "", "_stated")
+    parts = fence(parts)
     # a field's amount has the field's notation and takes only a currency from the text, whose scale is that of its own amount
     own = F.coalesce("_field", "_unit", F.when(F.col("_affix") == "lakh", "inr"), "_paid")
     texts = F.coalesce("_unit", F.when(F.col("_affix") == "lakh", "inr"), "_paid", "_field")

@@ -75,3 +75,11 @@ class Scratch:
     def drop(self) -> None:
         fs, path = file_system(self.spark, self.root)
         fs.delete(path, True)
+
+
+def fence(df: DataFrame) -> DataFrame:
+    """df with its columns computed once: a generator that the optimiser neither merges projections across nor pushes
+    filters through, so a long chain of expressions isn't copied into each place that uses it."""
+    from pyspark.sql import functions as F
+
+    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))

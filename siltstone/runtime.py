@@ -27,8 +27,24 @@ def session(master: str = "local[8]", memory: str = "8g", partitions: int = 8, *
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors' Python workers, once a context, so that it needn't be installed there."""
+    import shutil
+    from pathlib import Path
+
+    sc = spark.sparkContext
+    if getattr(sc, "_siltstone_shipped", False):
+        return
+    here = Path(__file__).resolve().parent
+    if here.parent.is_dir():
+        out = shutil.make_archive(f"{tempfile.mkdtemp(prefix='siltstone-zip-')}/siltstone", "zip", here.parent, here.name)
+        sc.addPyFile(out)
+    sc._siltstone_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data directory, as written."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -120,7 +120,11 @@ def sweep(runs: list[tuple[int, int]], capacity: int) -> list[tuple[int, int, in
 def pack(sizes: DataFrame, specs: DataFrame, scratch: Scratch) -> DataFrame:
     """spec_id, container_id, doc_id, piece_no, tokens for documents (doc_id, tokens) and capacities (spec_id, capacity_tokens)."""
     specs = specs.filter("spec_id is not null and capacity_tokens > 0").groupBy("spec_id").agg(F.max("capacity_tokens").cast("bigint").alias("capacity"))
-    both = sizes.filter("tokens > 0").join(F.broadcast(specs), F.lit(True))
+    # capacities are parameters: a handful of rows, taken in as literals
+    wanted = [F.struct(F.lit(r.spec_id).cast("int").alias("spec_id"), F.lit(r.capacity).cast("bigint").alias("capacity")) for r in specs.collect()]
+    if not wanted:
+        wanted = [F.struct(F.lit(None).cast("int").alias("spec_id"), F.lit(None).cast("bigint").alias("capacity"))]
+    both = sizes.filter("tokens > 0").select("doc_id", "tokens", F.inline(F.array(*wanted))).filter("spec_id is not null")
     whole = F.expr("if(tokens > capacity, (tokens - 1) div capacity, 0)")
     items = both.select("spec_id", "doc_id", "capacity", whole.alias("whole"), (F.col("tokens") - whole * F.col("capacity")).alias("size"))
     items = scratch.keep(ranked(items, ["spec_id", "size"], ["doc_id"]), "items")

@@ -78,6 +78,25 @@ ADDRESS = re.compile(
 # A name begins at any capital word, so the search looks ahead and spans may overlap.
 PERSON = re.compile(rf"(?<![\w@.'’-])(?=((?:{_NAME},{_SP}{_NAME}|{_NAME}{_SP}(?:[{_UP}]\.{_SP})?{_NAME}|[{_UP}]\.{_SP}(?:[{_UP}]\.{_SP})?{_NAME})))(?=[{_UP}])")
 
+# Cheap anchors: the full patterns are tried only around them.
+_AT = re.compile(r"@|[(\[{](?:at|@)[)\]}]|\sat\s(?=\S+\sdot\s)", re.IGNORECASE)
+_DIGITS = re.compile(r"\d[\d \xa0\u202f.()/-]{4,}\d")
+_PLACE = re.compile(
+    rf"\d[A-Za-z]?,?{_SP}(?:(?:bis|ter),?{_SP})?(?:[NSEW]\.{_SP})?(?:{_NAME}{_SP}|rue|avenue|boulevard|chemin|place|allée|quai|impasse|cours)"
+    rf"|(?:straße|strasse|str\.|weg|gasse|platz|allee|ufer|damm|ring|Straße|Weg|Allee|Platz){_SP}?\d"
+    rf"|(?:[Cc]alle|C/|[Aa]venida|Avda|Av\.|[Pp]laza|[Pp]aseo|[Cc]amino|[Rr]onda){_SP}?(?:de{_SP}la{_SP}|del{_SP}|de{_SP})?[{_UP}]"
+)
+
+
+def _near(anchor: re.Pattern, pattern: re.Pattern, text: str, back: int, ahead: int) -> Iterator[re.Match]:
+    """Matches of a pattern that touch the surroundings of its anchors, each once."""
+    done = 0
+    for a in anchor.finditer(text):
+        for m in pattern.finditer(text, max(done, a.start() - back), min(len(text), a.end() + ahead)):
+            done = m.end()
+            yield m
+
+
 # Cues in the words before a span; each list is one labeler's.
 _CUES = {
     "email": r"(?:write to|e-?mail|contact|kontakt|contacto|send|notes? to|mailto:x\">|bewerbungen an|envía|escribe|écrivez|correo|courriel|perfil a|recruiter|questions|[<|,/])[^.!?]{0,40}$",
@@ -122,20 +141,19 @@ def spans(text: str) -> list[tuple[str, int, int, str]]:
             + _sign(False, bool(AFTER_NO.match(after)))
         )
 
-    if "@" in text or " at " in text or " AT " in text or "at)" in text or "at]" in text:
-        for m in EMAIL.finditer(text):
-            t = m.group(0)
-            local, domain = re.split(r"@|\s?[(\[{](?:at|@)[)\]}]\s?|\sat\s", t, maxsplit=1, flags=re.IGNORECASE)
-            good = bool(re.search(r"[A-Za-z]{2,}$", t)) and bool(re.search(r"[A-Za-z]", local))
-            named = any(len(p) > 2 and (p in _GIVEN or p in _FAMILY) for p in re.split(r"[^a-z]+", local.lower()))
-            out.append(("email", m.start(), m.end(), _sign(good, not good) + _sign(named, not re.search("[A-Za-z]", local)) + around("email", m.start(), m.end())))
-    for m in PHONE.finditer(text):
+    for m in _near(_AT, EMAIL, text, 80, 120):
+        t = m.group(0)
+        local = re.split(r"@|\s?[(\[{](?:at|@)[)\]}]\s?|\sat\s", t, maxsplit=1, flags=re.IGNORECASE)[0]
+        good = bool(re.search(r"[A-Za-z]{2,}$", t)) and bool(re.search(r"[A-Za-z]", local))
+        named = any(len(p) > 2 and (p in _GIVEN or p in _FAMILY) for p in re.split(r"[^a-z]+", local.lower()))
+        out.append(("email", m.start(), m.end(), _sign(good, not good) + _sign(named, not re.search("[A-Za-z]", local)) + around("email", m.start(), m.end())))
+    for m in _near(_DIGITS, PHONE, text, 3, 3):
         t = m.group(0)
         plan = bool(_PLAN.fullmatch(t))
         n = sum(c.isdigit() for c in t)
         spaced = bool(re.search(r"[ \xa0.()/-]", t))
         out.append(("phone", m.start(), m.end(), _sign(plan and 9 <= n <= 15, not plan) + _sign(t[0] == "+" or spaced, bool(CUES["id_number"].search(text[max(0, m.start() - 48) : m.start()]))) + around("phone", m.start(), m.end())))
-    for m in ID.finditer(text):
+    for m in _near(_DIGITS, ID, text, 4, 4):
         t = m.group(0)
         before = text[max(0, m.start() - 48) : m.start()]
         called = bool(CUES["phone"].search(before)) and not CUES["id_number"].search(before)
@@ -144,7 +162,7 @@ def spans(text: str) -> list[tuple[str, int, int, str]]:
         if called and not lettered and _PLAN.fullmatch(t):
             continue
         out.append(("id_number", m.start(), m.end(), _sign(lettered, odd) + "0" + around("id_number", m.start(), m.end())))
-    for m in ADDRESS.finditer(text):
+    for m in _near(_PLACE, ADDRESS, text, 48, 80):
         t = m.group(0)
         number = re.search(r"\d+", t)
         out.append(("street_address", m.start(), m.end(), _sign(True, int(number.group(0)) > 20000) + "0" + around("street_address", m.start(), m.end())))

@@ -14,6 +14,7 @@ DEFAULTS = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import consensus, leakage, packing
+from siltstone.llm import consensus, history, leakage, packing, pii
+from siltstone.operators.units import posting_key
 from siltstone.runtime import Scratch, table
 
 FIELDS = {"work_model": (1, consensus.WORK_MODEL), "seniority_level": (2, consensus.SENIORITY)}
@@ -66,5 +67,21 @@ def p9_report(spark: SparkSession, d: str) -> DataFrame:
     return leakage.answers(leakage.leaks(docs, items), docs, items)
 
 
-QUERIES = {f.__name__: f for f in (p7_found, p7_reliability, p7_agreement, p8_pack, p8_fill, p9_found, p9_report)}
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return history.duplicates(table(spark, d, "silver_postings"), "job_description_text", posting_key())
+
+
+def p4_postings(spark: SparkSession, d: str) -> DataFrame:
+    return p4_found(spark, d).groupBy("kept_record_id").agg(F.count("*").alias("n_repeats"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return pii.details(table(spark, d, "documents"))
+
+
+def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return pii.redacted(table(spark, d, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p4_postings, p7_found, p7_reliability, p7_agreement, p8_pack, p8_fill, p9_found, p9_report, p10_found, p10_redacted)}
 ORACLE: dict[str, str] = {}

@@ -275,7 +275,7 @@ def search(seqs: DataFrame, items: list[tuple[int, np.ndarray, np.ndarray]], idf
         qseq = np.concatenate([q for _, q, _ in queries]) if queries else np.zeros(0, np.uint32)
         qbounds = np.concatenate([[0], np.cumsum([len(q) for _, q, _ in queries])]).astype(np.int64)
         qv, qtext, _ = _windows(qseq, qbounds, table, STEP)
-        qgrams = [np.unique(_grams(q)) for _, q, _ in queries]
+        qgrams = [np.unique(_grams(q), return_index=True) for _, q, _ in queries]
         for pdf in batches:
             out = []
             for low in range(0, len(pdf), 64):
@@ -304,10 +304,15 @@ def search(seqs: DataFrame, items: list[tuple[int, np.ndarray, np.ndarray]], idf
                     cut = np.flatnonzero(np.diff(p) > 2 * len(q))
                     for a, b in zip(np.concatenate([[0], cut + 1]), np.concatenate([cut, [len(p) - 1]]), strict=True):
                         lo, hi = max(bounds[x], p[a] - len(q)), min(bounds[x + 1], p[b] + SPAN + len(q))
-                        # forty words with one in ten replaced keep more than GRAMS threes of words
-                        g = qgrams[y]
+                        g, place = qgrams[y]
                         mine = grams[lo : max(lo, hi - 2)]
-                        if len(g) and (g[np.minimum(np.searchsorted(g, mine), len(g) - 1)] == mine).sum() >= GRAMS:
+                        if not len(g):
+                            continue
+                        k = np.minimum(np.searchsorted(g, mine), len(g) - 1)
+                        j = np.flatnonzero(g[k] == mine)
+                        # forty words with one in ten replaced keep GRAMS threes of words at about one distance
+                        off = np.sort(j - place[k[j]])
+                        if len(off) >= GRAMS and (off[GRAMS - 1 :] - off[: len(off) - GRAMS + 1] <= 8).any():
                             best = max(best, run_length(q, seq[lo:hi], weight))
                     if best >= SPAN:
                         out.append((int(ids[x]), int(queries[y][0]), best, float(h[:, 3].max())))

@@ -133,22 +133,13 @@ def basis(seqs: DataFrame, idf: np.ndarray, seed: int = 7) -> np.ndarray:
         touched = np.zeros(BUCKETS, bool)
         for pdf in batches:
             seq, bounds = _sequences(pdf)
-            starts = _blocks(bounds, SPAN)
-            if not len(starts):
-                continue
-            for low in range(0, len(starts), 4096):
-                s = starts[low : low + 4096]
-                end = starts[low + 4096] if low + 4096 < len(starts) else len(seq)
-                b = (seq[s[0] : end] % BUCKETS).astype(np.int64)
-                v = weight[b]
-                rel = s - s[0]
-                norm = np.sqrt(np.add.reduceat(v * v, rel)) + 1e-9
-                y = np.add.reduceat(w[b] * v[:, None], rel, axis=0) / (norm * norm)[:, None]
-                size = np.diff(np.append(rel, len(b)))
-                order = np.argsort(b, kind="stable")
-                rows = np.repeat(y, size, axis=0)[order] * v[order][:, None]
-                first = np.flatnonzero(np.diff(b[order], prepend=-1))
-                total[b[order][first]] += np.add.reduceat(rows, first, axis=0)
+            for a, z, s in _pieces(_blocks(bounds, SPAN), len(seq), 512):
+                # the passages of a block as a dense matrix over the block's own words
+                b, col = np.unique(seq[a:z] % BUCKETS, return_inverse=True)
+                row = np.repeat(np.arange(len(s)), np.diff(np.append(s, z)))
+                m = np.bincount(row * len(b) + col, weights=weight[b][col], minlength=len(s) * len(b)).astype(np.float32).reshape(len(s), len(b))
+                m /= np.sqrt(np.einsum("ij,ij->i", m, m))[:, None] + 1e-9
+                total[b] += m.T @ (m @ w[b])
                 touched[b] = True
         at = np.flatnonzero(touched)
         yield pd.DataFrame({"b": at.astype(np.int32), "y": [x.tobytes() for x in total[at]]})
@@ -275,13 +266,18 @@ def search(seqs: DataFrame, items: list[tuple[int, np.ndarray, np.ndarray]], idf
         qseq = np.concatenate([q for _, q, _ in queries]) if queries else np.zeros(0, np.uint32)
         qbounds = np.concatenate([[0], np.cumsum([len(q) for _, q, _ in queries])]).astype(np.int64)
         qv, qtext, _ = _windows(qseq, qbounds, table, STEP)
-        qgrams = [np.unique(_grams(q), return_index=True) for _, q, _ in queries]
+        # all threes of words of all items, by code: item and place of each
+        parts = [_grams(q) for _, q, _ in queries]
+        flat = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+        by = np.argsort(flat, kind="stable")
+        gram, gitem = flat[by], np.repeat(np.arange(len(parts)), [len(p) for p in parts])[by]
+        gplace = np.concatenate([np.arange(len(p)) for p in parts])[by] if parts else by
         for pdf in batches:
             out = []
             for low in range(0, len(pdf), 64):
                 part = pdf.iloc[low : low + 64]
                 seq, bounds = _sequences(part)
-                v, text, pos = _windows(seq, bounds, table, 2 * STEP)
+                v, text, _ = _windows(seq, bounds, table, 2 * STEP)
                 if not len(v) or not len(qv):
                     continue
                 ids = part["id"].to_numpy()
@@ -289,33 +285,45 @@ def search(seqs: DataFrame, items: list[tuple[int, np.ndarray, np.ndarray]], idf
                 for w in range(0, len(v), 2048):
                     cos = v[w : w + 2048] @ qv.T
                     r, c = np.divmod(np.flatnonzero(cos.ravel() >= least), cos.shape[1])
-                    hits.append(np.column_stack([text[w + r], qtext[c], pos[w + r], cos[r, c]]))
+                    hits.append(np.column_stack([text[w + r], qtext[c], cos[r, c]]))
                 hits = np.concatenate(hits)
                 if not len(hits):
                     continue
-                hits = hits[np.lexsort((hits[:, 2], hits[:, 1], hits[:, 0]))]
-                pair = hits[:, 0] * len(queries) + hits[:, 1]
-                grams = _grams(seq)
-                for h in np.split(hits, np.flatnonzero(np.diff(pair)) + 1):
-                    x, y = int(h[0, 0]), int(h[0, 1])
+                pair = (hits[:, 0] * len(queries) + hits[:, 1]).astype(np.int64)
+                order = np.lexsort((-hits[:, 2], pair))
+                first = order[np.flatnonzero(np.diff(pair[order], prepend=-1))]
+                candidates = pair[first]
+                top = dict(zip(candidates.tolist(), hits[first, 2].tolist(), strict=True))
+                # threes of words that a document shares with its candidate items, and how far apart they stand
+                mine = _grams(seq)
+                doc = np.searchsorted(bounds, np.arange(len(mine)), side="right") - 1
+                lo, hi = np.searchsorted(gram, mine), np.searchsorted(gram, mine, side="right")
+                n = hi - lo
+                at_doc = np.repeat(np.arange(len(mine)), n)
+                entry = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
+                key = doc[at_doc] * len(queries) + gitem[entry]
+                asked = np.zeros(len(part) * len(queries), bool)
+                asked[candidates] = True
+                keep = asked[key] & (np.bincount(key, minlength=len(asked)) >= GRAMS)[key]
+                key, off, spot = key[keep], (at_doc - gplace[entry])[keep], at_doc[keep]
+                order = np.lexsort((off, key))
+                key, off, spot = key[order], off[order], spot[order]
+                # forty words with one in ten replaced keep GRAMS threes of words at about one distance
+                far = GRAMS - 1
+                good = np.flatnonzero((key[far:] == key[: len(key) - far]) & (off[far:] - off[: len(off) - far] <= 8))
+                for p in np.unique(key[good]).tolist():
+                    x, y = divmod(p, len(queries))
                     _, q, weight = queries[y]
-                    best, p = 0, h[:, 2].astype(np.int64)
-                    # the stretches of the document around the windows, joined where they touch
-                    cut = np.flatnonzero(np.diff(p) > 2 * len(q))
-                    for a, b in zip(np.concatenate([[0], cut + 1]), np.concatenate([cut, [len(p) - 1]]), strict=True):
-                        lo, hi = max(bounds[x], p[a] - len(q)), min(bounds[x + 1], p[b] + SPAN + len(q))
-                        g, place = qgrams[y]
-                        mine = grams[lo : max(lo, hi - 2)]
-                        if not len(g):
+                    best, last = 0, -1
+                    for g in good[key[good] == p]:
+                        if g <= last:
                             continue
-                        k = np.minimum(np.searchsorted(g, mine), len(g) - 1)
-                        j = np.flatnonzero(g[k] == mine)
-                        # forty words with one in ten replaced keep GRAMS threes of words at about one distance
-                        off = np.sort(j - place[k[j]])
-                        if len(off) >= GRAMS and (off[GRAMS - 1 :] - off[: len(off) - GRAMS + 1] <= 8).any():
-                            best = max(best, run_length(q, seq[lo:hi], weight))
+                        last = g + far
+                        around = spot[g : g + GRAMS]
+                        a, b = max(bounds[x], around.min() - len(q)), min(bounds[x + 1], around.max() + len(q))
+                        best = max(best, run_length(q, seq[a:b], weight))
                     if best >= SPAN:
-                        out.append((int(ids[x]), int(queries[y][0]), best, float(h[:, 3].max())))
+                        out.append((int(ids[x]), int(queries[y][0]), best, top[p]))
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "run_words", "cosine"])
 
     return seqs.mapInPandas(run, "doc_id bigint, item_id bigint, run_words int, cosine double")

@@ -7,6 +7,7 @@ import re
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _FENCE = re.compile(r"```(?:json)?\s*(.*?)```", re.DOTALL | re.IGNORECASE)
 _CLUTTER = re.compile(r"<think>.*?</think>|</?(?:reasoning|answer|response|output)>|^\s*(?:here is|here's|sure|certainly)[^{]*", re.DOTALL | re.IGNORECASE)
@@ -54,7 +55,7 @@ def repair(text: str | None) -> tuple[str | None, str | None]:
     return None, "no JSON object"
 
 
-@F.pandas_udf("object string, error string")
+@F.pandas_udf(T.StructType([T.StructField("object", T.StringType()), T.StructField("error", T.StringType())]))
 def repair_json(texts: pd.Series) -> pd.DataFrame:
     """repair() over Arrow batches."""
     return pd.DataFrame([repair(t) for t in texts], columns=["object", "error"])

@@ -73,3 +73,8 @@ def p6_skills(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_notations, p2_found, p2_coverage, p3_found, p3_winners, p5_found, p5_unified, p6_found, p6_skills)}
+ORACLE = {
+    "p3_found": """with m as (select delivery_id, received_at, regexp_replace(trim(company_id), '\\.0$', '') as cid, regexp_extract(lower(company_url), '/company/([^/?#]+)', 1) as slug, epoch_us(try_cast(first_seen_at as timestamptz)) as moment from company_messages),
+  c as (select company_id, regexp_extract(lower(linkedin_url), '/company/([^/?#]+)', 1) as slug from companies), k as (select m.delivery_id, m.received_at, m.moment, coalesce(m.cid, c.company_id, m.slug) as co from m left join c on c.slug = m.slug)
+  select delivery_id from (select delivery_id, row_number() over (partition by co, moment order by received_at, delivery_id) as rn from k) where rn > 1""",
+}

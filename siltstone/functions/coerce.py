@@ -38,7 +38,7 @@ def text(c: Column) -> Column:
 def items(c: Column) -> Column:
     """A JSON array of strings, or a comma list, as trimmed non-blank strings."""
     listed = F.when(F.trim(c).startswith("["), F.from_json(c, "array<string>")).otherwise(F.split(c, ","))
-    return F.filter(F.transform(listed, F.trim), lambda x: x.isNotNull() & (x != ""))
+    return F.filter(F.transform(listed, lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != ""))
 
 
 def whole(c: Column) -> Column:

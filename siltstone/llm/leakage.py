@@ -34,7 +34,7 @@ OVERSAMPLE = 8
 SPAN = 40  # words of a window, and the least words of a leak
 STEP = 10
 REPLACED = 10  # one replaced word in so many
-GRAMS = 20  # 38 threes of 40 words, less at most 3 for each of the 4 replaced, less what differing compounds may cost
+GRAMS = 16  # 38 threes of 40 words, less at most 3 for each of the 4 replaced, with room for compounds that differ
 
 # Letters of other scripts that look like Latin ones.
 LOOKALIKE = str.maketrans(
@@ -45,7 +45,19 @@ _TAG = re.compile(r"</?[a-zA-Z][^<>]{0,200}>|&nbsp;|&#160;")
 _MARKS = re.compile("[̀-ͯ­​-‏⁠-⁤﻿]")
 _FOREIGN = re.compile("[ıɡͰ-ԯⅼ]")
 _WORD = re.compile(r"[a-z0-9]+")
-_CODES: dict[str, int] = {}
+
+
+class _Codes(dict):
+    """Codes of words as they are met. Bounded, for it lives with the worker."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        c = self[word] = zlib.crc32(word.encode())
+        return c
+
+
+_CODES = _Codes()
 
 
 def words(text: str) -> list[str]:
@@ -68,15 +80,7 @@ def weights(text: str) -> np.ndarray:
 
 def codes(text: str) -> np.ndarray:
     """A 32-bit code for each word."""
-    get, out = _CODES.get, []
-    for w in words(text):
-        c = get(w)
-        if c is None:
-            if len(_CODES) > 500_000:
-                _CODES.clear()
-            c = _CODES[w] = zlib.crc32(w.encode())
-        out.append(c)
-    return np.array(out, dtype=np.uint32)
+    return np.array(list(map(_CODES.__getitem__, words(text))), dtype=np.uint32)
 
 
 def encode(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -310,7 +314,7 @@ def search(seqs: DataFrame, items: list[tuple[int, np.ndarray, np.ndarray]], idf
                 key, off, spot = key[order], off[order], spot[order]
                 # forty words with one in ten replaced keep GRAMS threes of words at about one distance
                 far = GRAMS - 1
-                good = np.flatnonzero((key[far:] == key[: len(key) - far]) & (off[far:] - off[: len(off) - far] <= 8))
+                good = np.flatnonzero((key[far:] == key[: len(key) - far]) & (off[far:] - off[: len(off) - far] <= 12))
                 for p in np.unique(key[good]).tolist():
                     x, y = divmod(p, len(queries))
                     _, q, weight = queries[y]

@@ -16,6 +16,7 @@ largest class. Ties go to the first class in order.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,46 +74,60 @@ class Consensus:
         return tot.select("annotator", "n_votes", "reliability", F.greatest(F.lit(0.0), F.col("reliability") - 1.96 * F.col("sd")).alias("low"), F.least(F.lit(1.0), F.col("reliability") + 1.96 * F.col("sd")).alias("high"))
 
 
-def fit(vote: DataFrame, classes: list[str], scratch: Scratch, rounds: int = 25, alpha: float = 0.5, diagonal: float = 1.0, tol: float = 1e-4) -> Consensus:
-    """Fits the model to votes (item, annotator, label). alpha: Dirichlet prior of every cell, plus `diagonal` on the right one."""
-    spark, k = vote.sparkSession, len(classes)
+def _posteriors(packed: DataFrame, table: np.ndarray, annotators: list[str], alpha: float, diagonal: float) -> DataFrame:
+    """item, vs, post: each item's class posterior under Dirichlet counts; row k of table's last annotator holds the class counts."""
+    spark, k = packed.sparkSession, table.shape[1]
+    rows = [(a, t, x, float(table[i, t, x]) + alpha + (diagonal if t == x else 0.0)) for i, a in enumerate(annotators) for t in range(k) for x in range(k)]
+    raw = spark.createDataFrame(rows, "annotator string, t int, l int, a double")
+    logs = raw.join(raw.groupBy("annotator", "t").agg(F.sum("a").alias("s")), ["annotator", "t"]).withColumn("e", digamma(F.col("a")) - digamma(F.col("s")))
+    params = logs.groupBy("annotator", "l").agg(F.transform(F.array_sort(F.collect_list(F.struct("t", "e"))), lambda x: x["e"]).alias("e"))
+    sizes = table[-1, :, 0] + 1.0
+    prior = [F.lit(float(x)) for x in sizes]
+    head = [digamma(x) - digamma(F.lit(float(sizes.sum()))) for x in prior]
+    joined = packed.select("item", F.explode("vs").alias("v")).join(F.broadcast(params), (F.col("v.annotator") == F.col("annotator")) & (F.col("v.l") == F.col("l")))
+    sums = joined.groupBy("item").agg(*[F.sum(F.get("e", F.lit(c))).alias(f"s{c}") for c in range(k)], F.array_sort(F.collect_list("v")).alias("vs"))
+    scored = sums.select("item", "vs", F.array(*[F.col(f"s{c}") + head[c] for c in range(k)]).alias("score"))
+    soft = scored.select("item", "vs", F.transform("score", lambda x: F.exp(x - F.array_max("score"))).alias("soft"))
+    return soft.select("item", "vs", F.transform("soft", lambda x: x / F.aggregate("soft", F.lit(0.0), lambda a, y: a + y)).alias("post"))
+
+
+def _counts(post: DataFrame, annotators: list[str], k: int) -> np.ndarray:
+    """Expected counts: annotators x classes x labels, and the class counts in one more row. One group-by of the votes."""
+    votes_and_item = F.concat("vs", F.array(F.struct(F.lit(None).cast("string").alias("annotator"), F.lit(0).alias("l"))))
+    flat = post.select(F.explode(votes_and_item).alias("v"), "post").select("v.annotator", "v.l", F.posexplode("post").alias("t", "p"))
+    out = np.zeros((len(annotators) + 1, k, k))
+    at = {a: i for i, a in enumerate(annotators)}
+    for r in flat.groupBy("annotator", "l", "t").agg(F.sum("p").alias("n")).collect():
+        out[at.get(r.annotator, len(annotators)), r.t, r.l] = r.n
+    return out
+
+
+def fit(vote: DataFrame, classes: list[str], scratch: Scratch, rounds: int = 60, alpha: float = 0.5, diagonal: float = 1.0, tol: float = 2e-4) -> Consensus:
+    """Fits the model to votes (item, annotator, label). alpha: Dirichlet prior of every cell, plus `diagonal` on the right one.
+
+    rounds bounds the updates. Plain updates converge slowly where annotators are weak, so each two are followed by
+    a squared extrapolation of the counts, taken back where it leaves the positive range.
+    """
+    k = len(classes)
     index = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(i))])
-    # one row per item, its votes side by side: an update needs no shuffle of votes
+    # one row per item, its votes side by side
     packed = scratch.keep(vote.groupBy("item").agg(F.array_sort(F.collect_list(F.struct("annotator", index[F.col("label")].alias("l")))).alias("vs")), "votes")
+    annotators = sorted(r[0] for r in vote.select("annotator").distinct().collect())
     share = lambda c: F.aggregate("vs", F.lit(0.0), lambda a, v: a + F.when(v["l"] == c, 1.0).otherwise(0.0)) / F.size("vs")
-    post = packed.select("item", "vs", F.array(*[share(c) for c in range(k)]).alias("post"))
-    last = None
-    for r in range(rounds):
-        flat = post.select(F.explode("vs").alias("v"), "post").select("v.annotator", "v.l", F.posexplode("post").alias("t", "p"))
-        # annotators x classes x labels rows, and as many class totals as classes
-        cells = flat.groupBy("annotator", "l", "t").agg(F.sum("p").alias("n")).collect()
-        prior = post.select(F.posexplode("post").alias("t", "p")).groupBy("t").agg(F.sum("p").alias("n")).collect()
-        annotators = sorted({c.annotator for c in cells})
-        if not annotators:
+    now = _counts(packed.select("item", "vs", F.array(*[share(c) for c in range(k)]).alias("post")), annotators, k)
+    step = lambda c: _counts(_posteriors(packed, c, annotators, alpha, diagonal), annotators, k)
+    limit = tol * max(1.0, now[-1].sum())
+    for _ in range(max(1, rounds // 2) if annotators else 0):
+        one = step(now)
+        if np.abs(one - now).max() <= limit:
+            now = one
             break
-        table = {(c.annotator, c.t, c.l): c.n for c in cells}
-        rows = [(a, t, x, float(table.get((a, t, x), 0.0)) + alpha + (diagonal if t == x else 0.0)) for a in annotators for t in range(k) for x in range(k)]
-        raw = spark.createDataFrame(rows, "annotator string, t int, l int, a double")
-        size = {p.t: p.n + 1.0 for p in prior}
-        logs = raw.groupBy("annotator", "t").agg(F.sum("a").alias("s")).join(raw, ["annotator", "t"])
-        logs = logs.select("annotator", "t", "l", (digamma(F.col("a")) - digamma(F.col("s"))).alias("e")).collect()
-        head = spark.createDataFrame([(t, float(size.get(t, 1.0))) for t in range(k)], "t int, a double")
-        total = float(sum(size.get(t, 1.0) for t in range(k)))
-        head = {x.t: x.e for x in head.select("t", (digamma(F.col("a")) - digamma(F.lit(total))).alias("e")).collect()}
-        vec: dict[tuple[str, int], list[float]] = {}
-        for x in logs:
-            vec.setdefault((x.annotator, x.l), [0.0] * k)[x.t] = x.e
-        params = spark.createDataFrame([(a, x, v) for (a, x), v in vec.items()], "annotator string, l int, e array<double>")
-        joined = packed.select("item", F.explode("vs").alias("v")).join(F.broadcast(params), (F.col("v.annotator") == F.col("annotator")) & (F.col("v.l") == F.col("l")))
-        sums = joined.groupBy("item").agg(*[F.sum(F.get("e", F.lit(c))).alias(f"s{c}") for c in range(k)], F.array_sort(F.collect_list("v")).alias("vs"))
-        score = F.array(*[F.col(f"s{c}") + head.get(c, 0.0) for c in range(k)])
-        soft = F.transform(score, lambda x: F.exp(x - F.array_max(score)))
-        total_of = F.aggregate("soft", F.lit(0.0), lambda a, x: a + x)
-        post = scratch.keep(sums.select("item", "vs", soft.alias("soft")).select("item", "vs", F.transform("soft", lambda x: x / total_of).alias("post")), "post")
-        state = [table.get((a, t, x), 0.0) for a in annotators for t in range(k) for x in range(k)]
-        if last is not None and len(last) == len(state) and max(abs(a - b) for a, b in zip(state, last, strict=True)) <= tol * max(1.0, max(state)):
-            break
-        last = state
+        two = step(one)
+        r, v = one - now, two - 2 * one + now
+        size = min(-1.0, -float(np.linalg.norm(r) / max(np.linalg.norm(v), 1e-12)))
+        jump = now - 2 * size * r + size * size * v
+        now = jump if (jump >= 0).all() else two
+    post = scratch.keep(_posteriors(packed, now, annotators, alpha, diagonal), "post")
     flat = post.select(F.explode("vs").alias("v"), "post").select("v.annotator", "v.l", F.posexplode("post").alias("t", "p"))
     counts = flat.groupBy("annotator", F.col("t").alias("truth"), F.col("l").alias("label")).agg(F.sum("p").alias("n"))
     return Consensus(post, counts, classes)

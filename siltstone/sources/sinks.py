@@ -41,8 +41,9 @@ def upsert(df: DataFrame, path: str, key: str, newest: Column, parts: list[str]
     best = every.filter(F.col(key).isNotNull()).groupBy(*parts, key).agg(F.max_by(row, F.struct(newest, F.xxhash64(*[F.to_json(F.struct(*new.columns))]))).alias("r"))
     final = best.select("r.*").unionByName(every.filter(F.col(key).isNull()).dropDuplicates())
     staged = scratch.keep(final, "final")
+    combined = every.count()  # before its files are replaced
     overwrite_partitions(staged.drop("_old"), path, parts)
-    return staged.agg(F.count("*").alias("final_rows"), F.sum("_old").alias("from_existing")).withColumn("combined_rows", F.lit(every.count()))
+    return staged.agg(F.count("*").alias("final_rows"), F.sum("_old").alias("from_existing")).withColumn("combined_rows", F.lit(combined))
 
 
 def single_file(df: DataFrame, path: str) -> None:

@@ -143,8 +143,8 @@ def fil_date_range(t: Tables) -> DataFrame:
 def fil_lookback(t: Tables) -> DataFrame:
     """FIL-06: the last thirty days before the newest."""
     s = t.silver_postings
-    newest = s.agg(F.max(F.to_date("ingested_at")).alias("newest"))
-    return s.join(F.broadcast(newest), F.to_date("ingested_at") >= F.date_sub("newest", 30)).select("record_id")
+    newest = s.agg(F.max(F.to_date("ingested_at"))).first()[0]  # one value
+    return s.filter(F.to_date("ingested_at") >= F.date_sub(F.lit(newest).cast("date"), 30)).select("record_id")
 
 
 @query("select delivery_id from company_messages where coalesce(company_id, company_url) is not null and msg_source = 'job_ingestion'")

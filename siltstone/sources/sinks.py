@@ -59,6 +59,12 @@ def json_lines(df: DataFrame, path: str, metadata: list[str], result: list[str])
 def register(spark: SparkSession, name: str, path: str) -> None:
     """An external table over written Parquet, partitions recovered."""
     spark.sql(f"create table if not exists `{name}` using parquet location '{path}'")
+    if spark.catalog.getTable(name) and spark.read.parquet(path).inputFiles():
+        try:
+            spark.sql(f"msck repair table `{name}`")
+        except Exception as e:  # a table without partitions has none to recover
+            if "NOT_A_PARTITIONED_TABLE" not in str(e):
+                raise
 
 
 def fan_out(df: DataFrame, key: str, size: int) -> DataFrame:

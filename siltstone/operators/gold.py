@@ -65,3 +65,47 @@ def term_scores(silver: DataFrame) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
 
     return model.transform(tfidf).select("term", "n", F.round(F.get(vector_to_array("probability"), F.lit(1)), 4).alias("tech_prob"))
+
+
+def enum_dimension(df: DataFrame, field: str) -> DataFrame:
+    """(key, value): the distinct values of a field with few values, numbered in order."""
+    v = df.select(F.col(field).alias("value")).filter("value is not null").distinct()
+    return v.select(F.row_number().over(W.orderBy("value")).alias("key"), "value")
+
+
+def dim_location(silver: DataFrame) -> DataFrame:
+    """One row per place and country."""
+    u = lambda c: F.coalesce(F.col(c), F.lit("unknown"))
+    d = silver.select(u("job_location").alias("job_location"), u("country_code").alias("country_code")).distinct()
+    return d.select(F.md5(F.concat_ws("|", "job_location", "country_code")).alias("location_key"), "job_location", "country_code", F.get(F.split("job_location", ","), F.lit(0)).alias("city"))
+
+
+def dim_time(spark: SparkSession) -> DataFrame:
+    """One row per hour."""
+    h = F.col("id").cast("int")
+    part = F.when(h < 6, "night").when(h < 12, "morning").when(h < 18, "afternoon").otherwise("evening")
+    return spark.range(24).select(h.alias("hour"), part.alias("part_of_day"), h.between(9, 17).alias("is_business"))
+
+
+def clusters(vectors: DataFrame, k: int, seed: int = 7) -> DataFrame:
+    """(vec_id, cluster) by k-means over unit vectors; null and empty vectors are left out."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import Normalizer
+    from pyspark.ml.functions import array_to_vector
+
+    rows = vectors.filter(F.size("embedding") > 0).select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("raw"))
+    unit = Normalizer(inputCol="raw", outputCol="features").transform(rows)
+    return KMeans(k=k, seed=seed, maxIter=20).fit(unit).transform(unit).select("vec_id", F.col("prediction").alias("cluster"))
+
+
+def pearson(df: DataFrame, a: str, b: str) -> DataFrame:
+    """r, n and the two-sided p-value by the normal limit of Fisher's transformation; null where r can't be told."""
+    s = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).agg(F.corr(a, b).alias("r"), F.count("*").alias("n"))
+    z = F.abs(F.atanh("r")) * F.sqrt(F.greatest(F.col("n") - 3, F.lit(0)))
+    # complementary error function of z / sqrt(2), a rational approximation good to 1.2e-7
+    x = z / 2**0.5
+    t = 1 / (1 + 0.5 * x)
+    poly = F.lit(0.17087277)
+    for c in (-0.82215223, 1.48851587, -1.13520398, 0.27886807, -0.18628806, 0.09678418, 0.37409196, 1.00002368, -1.26551223):
+        poly = poly * t + c
+    return s.select(F.round("r", 6).alias("r"), "n", F.when(F.abs("r") < 1, F.round(t * F.exp(-x * x + poly), 9)).alias("p_value"))

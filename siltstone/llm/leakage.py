@@ -34,7 +34,7 @@ OVERSAMPLE = 8
 SPAN = 40  # words of a window, and the least words of a leak
 STEP = 10
 REPLACED = 10  # one replaced word in so many
-GRAMS = 16  # 38 threes of 40 words, less at most 3 for each of the 4 replaced, with room for compounds that differ
+GRAMS = 20  # 38 threes of 40 words, less at most 3 for each of the 4 replaced, with room for compounds that differ
 
 # Letters of other scripts that look like Latin ones.
 LOOKALIKE = str.maketrans(
@@ -276,6 +276,9 @@ def search(seqs: DataFrame, items: list[tuple[int, np.ndarray, np.ndarray]], idf
         by = np.argsort(flat, kind="stable")
         gram, gitem = flat[by], np.repeat(np.arange(len(parts)), [len(p) for p in parts])[by]
         gplace = np.concatenate([np.arange(len(p)) for p in parts])[by] if parts else by
+        # a sieve of 2^20 places: most threes of words of the corpus are in no item
+        sieve = np.zeros(1 << 20, bool)
+        sieve[(gram & np.uint64(0xFFFFF)).astype(np.int64)] = True
         for pdf in batches:
             out = []
             for low in range(0, len(pdf), 64):
@@ -300,21 +303,23 @@ def search(seqs: DataFrame, items: list[tuple[int, np.ndarray, np.ndarray]], idf
                 top = dict(zip(candidates.tolist(), hits[first, 2].tolist(), strict=True))
                 # threes of words that a document shares with its candidate items, and how far apart they stand
                 mine = _grams(seq)
-                doc = np.searchsorted(bounds, np.arange(len(mine)), side="right") - 1
+                spots = np.flatnonzero(sieve[(mine & np.uint64(0xFFFFF)).astype(np.int64)])
+                mine = mine[spots]
+                doc = np.searchsorted(bounds, spots, side="right") - 1
                 lo, hi = np.searchsorted(gram, mine), np.searchsorted(gram, mine, side="right")
                 n = hi - lo
-                at_doc = np.repeat(np.arange(len(mine)), n)
+                which = np.repeat(np.arange(len(mine)), n)
                 entry = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
-                key = doc[at_doc] * len(queries) + gitem[entry]
+                key = doc[which] * len(queries) + gitem[entry]
                 asked = np.zeros(len(part) * len(queries), bool)
                 asked[candidates] = True
                 keep = asked[key] & (np.bincount(key, minlength=len(asked)) >= GRAMS)[key]
-                key, off, spot = key[keep], (at_doc - gplace[entry])[keep], at_doc[keep]
+                key, off, spot = key[keep], (spots[which] - gplace[entry])[keep], spots[which][keep]
                 order = np.lexsort((off, key))
                 key, off, spot = key[order], off[order], spot[order]
                 # forty words with one in ten replaced keep GRAMS threes of words at about one distance
                 far = GRAMS - 1
-                good = np.flatnonzero((key[far:] == key[: len(key) - far]) & (off[far:] - off[: len(off) - far] <= 12))
+                good = np.flatnonzero((key[far:] == key[: len(key) - far]) & (off[far:] - off[: len(off) - far] <= 8))
                 for p in np.unique(key[good]).tolist():
                     x, y = divmod(p, len(queries))
                     _, q, weight = queries[y]
@@ -333,7 +338,7 @@ def search(seqs: DataFrame, items: list[tuple[int, np.ndarray, np.ndarray]], idf
     return seqs.mapInPandas(run, "doc_id bigint, item_id bigint, run_words int, cosine double")
 
 
-def leaks(docs: DataFrame, items: DataFrame, cosine: float = 0.88, max_items: int = 20_000) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, cosine: float = 0.82, max_items: int = 20_000) -> DataFrame:
     """(doc_id, item_id, run_words, cosine): every document that holds a leaked passage of an item.
 
     max_items bounds the query set that is sent to the tasks; a larger one is an error, to be run in blocks.

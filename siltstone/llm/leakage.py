@@ -39,11 +39,11 @@ GRAMS = 20  # 38 threes of 40 words, less at most 3 for each of the 4 replaced,
 # Letters of other scripts that look like Latin ones.
 LOOKALIKE = str.maketrans(
     "абвгеѕіјкмнорсԛтухһԁԝӏАВЕЅІЈКМНОРСТУХԚԜαβεικμνορτυχωΑΒΕΖΗΙΚΜΝΟΡΤΥΧıɡⅼ",
-    "abbreѕijkmhopcqtyxhdwlabesijkmhopctyxqwabeikmvoptuxwabezhikmnoptyxigl".replace("ѕ", "s"),
+    "abbresijkmhopcqtyxhdwlabesijkmhopctyxqwabeikmvoptuxwabezhikmnoptyxigl",
 )
 _TAG = re.compile(r"</?[a-zA-Z][^<>]{0,200}>|&nbsp;|&#160;")
-_MARKS = re.compile("[̀-ͯ­​-‏⁠-⁤﻿]")
-_FOREIGN = re.compile("[ıɡͰ-ԯⅼ]")
+_MARKS = re.compile("[\u0300-\u036f\u00ad\u200b-\u200f\u2060-\u2064\ufeff]")
+_FOREIGN = re.compile("[\u0131\u0261\u0370-\u052f\u217c]")
 _WORD = re.compile(r"[a-z0-9]+")
 
 

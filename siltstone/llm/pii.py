@@ -77,6 +77,10 @@ ADDRESS = re.compile(
 )
 # A name begins at any capital word, so the search looks ahead and spans may overlap.
 PERSON = re.compile(rf"(?<![\w@.'’-])(?=((?:{_NAME},{_SP}{_NAME}|{_NAME}{_SP}(?:[{_UP}]\.{_SP})?{_NAME}|[{_UP}]\.{_SP}(?:[{_UP}]\.{_SP})?{_NAME})))(?=[{_UP}])")
+_BEFORE_NAME = re.compile(rf"(?<![\w@.'’-]){_NAME}{_SP}$")
+_POSTAL = re.compile(rf",{_SP}\d{{4,6}}{_SP}$")
+# Words that are part of an address, spelled out or not, don't count as written small.
+_APART = r"(?![\w@+-]|\.\w|\s?[(\[{]|\s(?:at|dot)\s)"
 
 # Cheap anchors: the full patterns are tried only around them.
 _AT = re.compile(r"@|[(\[{](?:at|@)[)\]}]|\sat\s(?=\S+\sdot\s)", re.IGNORECASE)
@@ -103,7 +107,7 @@ _CUES = {
     "phone": r"(?:\btel|phone|\bcall|\btext|telefon|teléfono|tél|llama|appelez|rückfragen|mobile?|móvil|handy|reach|unter|[|,/>])[^.!?\d]{0,14}[.:]?[^\w]{0,4}$",
     "id_number": r"(?:ssn|social security|tax id|itin|cpf|nino|ni number|national insurance(?: no\.?)?|idnr\.?|steuer-?id(?:nr\.?)?|nir|sécurité sociale|insee|dni|nie|nif|documento|ausweis\w*|passport|id number)(?: number| no\.?| nr\.?| n[º°])?[\s:]*$",
     "street_address": r"(?:held at|come to|address|anschrift|adresse|dirección|domicilio|lieu au|entrevista es en|(?:in|an) der|wohnhaft|findet|statt|gespräche?|rendez-vous au|kommen sie)[^.!?]{0,25}$",
-    "person_name": r"(?:recruiter|kontakt|contacto?|responsable|ansprechperson|ansprechpartner(?:in)?|hiring manager|questions\?|spoke with|notes by(?: dr\.)?|gespräch mit(?: dr\.)?|fragen beantwortet|pregunta por|hablé con|échange avec|demandez|ask for|\bdr\.|\bmr\.?|\bms\.?|\bmrs\.?|\bfrau|\bherr|\bsr\.|\bsra\.|\bmme|\bm\.|candidate)\s*:?\s*$",
+    "person_name": r"(?:recruiter|kontakt|contacto?|responsable|ansprechperson|ansprechpartner(?:in)?|hiring manager|questions\?|spoke with|notes by(?: dr\.)?|gespräch mit(?: dr\.)?|fragen beantwortet|pregunta por|hablé con|échange avec|demandez|ask for|\bdr\.|\bmr\.?|(?<!\d\s)\bms\.?|\bmrs\.?|\bfrau|\bherr|\bsr\.|\bsra\.|\bmme|(?<!\d\s)(?<![\d-])\bm\.|candidate)\s*:?\s*$",
 }
 CUES = {k: re.compile(v, re.IGNORECASE) for k, v in _CUES.items()}
 AGAINST = re.compile(r"(?:invoice|order|reference(?: no\.)?|budget code|build|version(?: string)?|ticket|requisition|\bip|section|latency fell from|feed carried|\bjob|maps show|use decorator|shipped with|rechnung|factura|facture|pedido|commande)\W{0,3}$", re.IGNORECASE)
@@ -128,6 +132,12 @@ def _sign(yes: bool, no: bool = False) -> str:
     return "-" if no else "+" if yes else "0"
 
 
+def _inside(text: str, a: int) -> bool:
+    """Whether initials are the middle of a longer name: after a capital word that has a cue."""
+    m = _BEFORE_NAME.search(text, max(0, a - 48), a)
+    return m is not None and bool(CUES["person_name"].search(text[max(0, m.start() - 48) : m.start()]))
+
+
 def spans(text: str) -> list[tuple[str, int, int, str]]:
     """Proposed spans of a text: kind, start, end, votes of the kind's labelers (+, -, 0)."""
     out = []
@@ -178,11 +188,12 @@ def spans(text: str) -> list[tuple[str, int, int, str]]:
         bad = first in _NO_NAME or last in _NO_NAME
         initial = first.endswith(".") or len(first) == 1
         a, b = m.start(1), m.end(1)
-        if not (given or family):
-            # a name that no gazetteer has needs cues on both sides to be proposed
-            if bad or not (CUES["person_name"].search(text[max(0, a - 48) : a]) and AFTER_YES["person_name"].match(text[b : b + 40])):
-                continue
-        out.append(("person_name", a, b, _sign(given or (initial and family), bad) + _sign(family, bad) + around("person_name", a, b)))
+        # a name that no gazetteer has needs a cue on either side to be proposed; the votes decide
+        if given or family or AFTER_YES["person_name"].match(text, b) or CUES["person_name"].search(text[max(0, a - 48) : a]):
+            # against such a name: capitals only, a postal code before it, or a word of it in small letters elsewhere in the text
+            plain = not (given or family or bad) and (t.isupper() or bool(_POSTAL.search(text[max(0, a - 10) : a])) or any(re.search(rf"(?<![\w@.+-]){re.escape(w)}{_APART}", text) for w in (first, last) if len(w) > 2))
+            inside = initial and not given and _inside(text, a)
+            out.append(("person_name", a, b, _sign(given or (initial and family and not inside), bad or plain) + _sign(family, bad) + around("person_name", a, b)))
     return out
 
 

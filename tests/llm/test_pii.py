@@ -65,3 +65,29 @@ def test_estimates_follow_the_reliable_labelers():
     score = pii.train(counts, soft)
     assert soft["email+++000"] > 0.95 and soft["email--0-0-"] < 0.05
     assert score["email++00+0"] > 0.5 > score["email-00-0-"]
+
+
+def test_names_that_no_list_has(spark, monkeypatch):
+    """One cue is enough to propose a name; with the lists emptied, cues and votes alone find it."""
+    monkeypatch.setattr(pii, "_GIVEN", frozenset())
+    monkeypatch.setattr(pii, "_FAMILY", frozenset())
+    found = lambda t: {(t[a:b], v) for k, a, b, v in pii.spans(t) if k == "person_name"}
+    assert ("Abeke Thornquist", "00+000") in found("Recruiter: Abeke Thornquist und das Team")
+    assert ("Abeke Thornquist", "0000+0") in found("gestern war Abeke Thornquist | abeke@x.example")
+    assert ("Data Nights", "--00+0") in found("We run Data Nights.")
+    assert ("Neue Plattform", "-000+0") in found("Eine neue plattform. Neue Plattform.")
+    texts = ["Recruiter: Abeke Thornquist <a@x.example>"] * 40 + ["Recruiter: Abeke Thornquist und das Team"] * 5 + ["Our Data Nights."] * 60
+    counts: dict = {}
+    for t in texts:
+        for k, _, _, v in pii.spans(t):
+            counts[k + v] = counts.get(k + v, 0) + 1
+    counts = sorted(counts.items())
+    score = pii.train(counts, pii.estimate(counts))
+    assert score["person_name00+0+0"] > 0.5 and score["person_name00+000"] > 0.5 > score["person_name--00+0"]
+
+
+def test_initials_inside_a_longer_name():
+    found = lambda t: {t[a:b]: v for k, a, b, v in pii.spans(t) if k == "person_name"}
+    got = found("Recruiter: Xenobia K. Rautavirta | phone")
+    assert got["Xenobia K. Rautavirta"][:3] == "0++" and got["K. Rautavirta"][:2] == "0+"
+    assert found("straße 78 in Altbruck W. Quellmaar | x")["W. Quellmaar"][:2] == "++"

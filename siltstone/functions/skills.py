@@ -76,8 +76,15 @@ def detect(df: DataFrame, title: str, text: str, catalog: dict | None = None) ->
 
 
 def match_terms(df: DataFrame, key: str, text: str, terms: DataFrame) -> DataFrame:
-    """(key, canonical, family): the same finds by joining the words and word pairs of each text with the terms, in SQL."""
+    """(key, canonical, family): the same finds by joining the runs of words of each text with the terms, in SQL; runs are as
+    long as the longest term."""
+    # a catalog has some thousand terms: one small job
+    longest = terms.agg(F.max(F.size(F.split(F.trim("term"), r"\s+")))).first()[0] or 1
     words = F.split(F.regexp_replace(F.lower(F.col(text)), r"[^a-z0-9_]+", " "), " ")
     rows = df.select(key, words.alias("w"))
-    both = F.array_distinct(F.concat("w", F.transform(F.arrays_zip(F.col("w").alias("x"), F.slice("w", 2, 1_000_000).alias("y")), lambda z: F.concat_ws(" ", z["x"], z["y"]))))
-    return rows.select(key, F.explode(both).alias("term")).join(F.broadcast(terms), "term").select(key, "canonical", "family").distinct()
+
+    def runs(n: int):
+        return F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.array_join(F.slice("w", i, n), " "))
+
+    every = F.array_distinct(F.concat(*[F.when(F.size("w") >= n, runs(n)).otherwise(F.array().cast("array<string>")) for n in range(1, longest + 1)]))
+    return rows.select(key, F.explode(every).alias("term")).join(F.broadcast(terms), "term").select(key, "canonical", "family").distinct()

@@ -142,3 +142,10 @@ def test_states(spark):
     good, bad = mb.split_dead(batch, F.when(F.col("id").isNull(), "no id"))
     assert good.count() == 2 and bad.count() == 1
     assert mb.enrich(spark.createDataFrame([(1, "p")], "job_id bigint, prompt string"), lambda p: (p.upper(), 3), 1).first().answer == "P"
+
+
+def test_terms_of_three_words_and_more(spark):
+    catalog = {"f": {"g": [("sas", ["statistical analysis system"]), ("rds", ["amazon relational database service"]), ("sql", [])]}}
+    df = spark.createDataFrame([(1, "Statistical  analysis system, SQL"), (2, "an Amazon relational database service."), (3, "sql"), (4, None)], "id int, t string")
+    got = skills.match_terms(df, "id", "t", skills.dimension(spark, catalog).select("term", "canonical", "family"))
+    assert {tuple(r) for r in got.collect()} == {(1, "sas", "f"), (1, "sql", "f"), (2, "rds", "f"), (3, "sql", "f")}

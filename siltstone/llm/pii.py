@@ -1,45 +1,50 @@
 """Personal details inside free text, found and replaced with typed placeholders.
 
 Weak-supervision aggregation. One pass over whole texts proposes spans of each kind and lets labelers vote on
-each: patterns of the kind's formats, gazetteers of names and of words that are no names, and cues in the
-words before and after. A span's votes (for, against, none) form a pattern; there are few patterns, however
-large the corpus. Expectation-maximisation over the patterns of all spans estimates how reliable each labeler
-is, without labels. A logistic span classifier is then trained on all patterns, weighted by their counts,
-with the posteriors as soft labels, and scores every span; overlapping spans go to the surest, then the longest.
+each: patterns of the kind's formats, a gazetteer of words that are no names, cues in the words before and
+after, and, for names of people, the corpus itself. No list of names is used: words that texts also write small
+speak against a name; words that meet different partners as first and as last word of spans speak for it, for
+given and family names recombine and headings don't; so does an e-mail address that holds one of them. Those
+statistics are counters of hashed words, of one size whatever the corpus.
+
+A span's votes (for, against, none) form a pattern; there are few patterns, however large the corpus.
+Expectation-maximisation over the patterns of all spans estimates how reliable each labeler is, without labels.
+The final span classifier is trained on these posteriors as soft labels: a logistic model per kind over the votes
+and the words around the span, so that contexts learned where votes are clear decide where they aren't. It is
+fitted to at most TRAINING spans, drawn by hash, and scores every span; overlapping spans go to the surest, then
+the longest.
 
 Defined results: null and blank texts hold nothing. A detail is reported once per document and kind as it is
-written. Repeated rows with one doc_id are one document. Spans never cross a line break.
+written. Repeated rows with one doc_id are one document in the list of details; when redacting, each row keeps its
+own text. Spans never cross a line break.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.runtime import Scratch
 
 KINDS = ("email", "phone", "id_number", "street_address", "person_name")
+COUNTERS = 1 << 22  # of hashed words
+TRAINING = 60_000  # spans the classifier is fitted to, at most
+HASHED = 1 << 12  # hashed words of contexts, per kind
 
-# The gazetteers. Names are matched without case.
-GIVEN = (
-    "maelis ilka kjeran oluwaseyi jorvik renzo anselm marisol zuleika perla gwendal torben quirin ottilie edvard haruko tamsin solvei "
-    "baptist ysolde noémie ximena björn dovid fintan leocadia wanjiru rashmi amrita cosmin"
-).split()
-FAMILY = (
-    "villardieu vroomhout zubiretta heidebruch belmontado winterschlag fjellmose castellmar namboothal mirandoval ashgrovesen kaplinsky-orr "
-    "rautavirta o'farradane sörbekk tregowanet torvander pindarella oyelarin desrochelle duskmere almazareno brackwend harrowgate-lunn quellmaar stolzenhag"
-).split()
-# Words that are no part of a person's name.
+# Words that are no part of a person's name: kinds of streets and places, firms, functions, products.
 NO_NAME = (
-    "street st avenue ave road rd lane court boulevard blvd drive harbour harbor campus office exhibit partnership square park bridge "
-    "systems labs group health media works logistics finance energy analytics inc ltd gmbh data engineer developer analyst architect manager "
-    "product platform software senior junior lead staff principal bi etl ml the and for with dr mr ms mrs prof frau herr "
-    "spark python trino kafka scala java rust sql git docker kubernetes terraform airflow dbt postgres parquet iceberg flink looker ray apt suite"
+    "street st avenue ave road rd lane court boulevard blvd drive harbour harbor campus office square park bridge "
+    "systems labs group health media works logistics finance energy analytics inc ltd llc corp gmbh ag data engineer developer analyst architect manager "
+    "director recruiter product platform software senior junior lead staff principal team bi etl ml the and for with dr mr ms mrs prof frau herr "
+    "spark python trino kafka scala java rust sql git docker kubernetes terraform airflow dbt postgres parquet iceberg flink looker apt suite"
 ).split()
 
 _SP = r"[ \xa0 ]"
@@ -78,9 +83,6 @@ ADDRESS = re.compile(
 # A name begins at any capital word, so the search looks ahead and spans may overlap.
 PERSON = re.compile(rf"(?<![\w@.'’-])(?=((?:{_NAME},{_SP}{_NAME}|{_NAME}{_SP}(?:[{_UP}]\.{_SP})?{_NAME}|[{_UP}]\.{_SP}(?:[{_UP}]\.{_SP})?{_NAME})))(?=[{_UP}])")
 _BEFORE_NAME = re.compile(rf"(?<![\w@.'’-]){_NAME}{_SP}$")
-_POSTAL = re.compile(rf",{_SP}\d{{4,6}}{_SP}$")
-# Words that are part of an address, spelled out or not, don't count as written small.
-_APART = r"(?![\w@+-]|\.\w|\s?[(\[{]|\s(?:at|dot)\s)"
 
 # Cheap anchors: the full patterns are tried only around them.
 _AT = re.compile(r"@|[(\[{](?:at|@)[)\]}]|\sat\s(?=\S+\sdot\s)", re.IGNORECASE)
@@ -103,28 +105,36 @@ def _near(anchor: re.Pattern, pattern: re.Pattern, text: str, back: int, ahead:
 
 # Cues in the words before a span; each list is one labeler's.
 _CUES = {
-    "email": r"(?:write to|e-?mail|contact|kontakt|contacto|send|notes? to|mailto:x\">|bewerbungen an|envía|escribe|écrivez|correo|courriel|perfil a|recruiter|questions|[<|,/])[^.!?]{0,40}$",
-    "phone": r"(?:\btel|phone|\bcall|\btext|telefon|teléfono|tél|llama|appelez|rückfragen|mobile?|móvil|handy|reach|unter|[|,/>])[^.!?\d]{0,14}[.:]?[^\w]{0,4}$",
+    "email": r"(?:e-?mail|mail|contact|kontakt|contacto|mailto:|correo|courriel|write to|send|escribe|écrivez|[<|,/])[^.!?]{0,40}$",
+    "phone": r"(?:\btel|phone|\bcall|\btext|telefon|teléfono|tél|llama|appelez|mobile?|móvil|handy|reach|unter|fax|whatsapp|[|,/>])[^.!?\d]{0,14}[.:]?[^\w]{0,4}$",
     "id_number": r"(?:ssn|social security|tax id|itin|cpf|nino|ni number|national insurance(?: no\.?)?|idnr\.?|steuer-?id(?:nr\.?)?|nir|sécurité sociale|insee|dni|nie|nif|documento|ausweis\w*|passport|id number)(?: number| no\.?| nr\.?| n[º°])?[\s:]*$",
-    "street_address": r"(?:held at|come to|address|anschrift|adresse|dirección|domicilio|lieu au|entrevista es en|(?:in|an) der|wohnhaft|findet|statt|gespräche?|rendez-vous au|kommen sie)[^.!?]{0,25}$",
-    "person_name": r"(?:recruiter|kontakt|contacto?|responsable|ansprechperson|ansprechpartner(?:in)?|hiring manager|questions\?|spoke with|notes by(?: dr\.)?|gespräch mit(?: dr\.)?|fragen beantwortet|pregunta por|hablé con|échange avec|demandez|ask for|\bdr\.|\bmr\.?|(?<!\d\s)\bms\.?|\bmrs\.?|\bfrau|\bherr|\bsr\.|\bsra\.|\bmme|(?<!\d\s)(?<![\d-])\bm\.|candidate)\s*:?\s*$",
+    "street_address": r"(?:\bat|address|anschrift|adresse|dirección|domicilio|\bau|\ben|(?:in|an) der|wohnhaft|\bto)[^.!?]{0,25}$",
+    "person_name": r"(?:recruiter|kontakt|contact|contacto|responsable|ansprechperson|ansprechpartner(?:in)?|hiring manager|candidate|manager|name|nombre|nom|ask for|spoke to|demandez|preguntar? por|pregunte por|frag(?:en|t) nach|hablé con|\bwith|\bby|\bmit|\bcon|\bpor|\bavec|\bpar|\bvon|\bdr\.|\bmr\.?|(?<!\d\s)\bms\.?|\bmrs\.?|\bfrau|\bherr|\bsr\.|\bsra\.|\bmme|(?<!\d\s)(?<![\d-])\bm\.)\s*:?\s*$",
 }
 CUES = {k: re.compile(v, re.IGNORECASE) for k, v in _CUES.items()}
-AGAINST = re.compile(r"(?:invoice|order|reference(?: no\.)?|budget code|build|version(?: string)?|ticket|requisition|\bip|section|latency fell from|feed carried|\bjob|maps show|use decorator|shipped with|rechnung|factura|facture|pedido|commande)\W{0,3}$", re.IGNORECASE)
-AFTER_NO = re.compile(r"\W{0,2}(?:must be quoted|applies|was shipped|covers|postings|of the crawler|is pinned|banners|exhibit|partnership|campus|office|harbour|share a lift|owns the site|to \d|ms\b|visitors)", re.IGNORECASE)
+# Labels of numbers that identify things, not people.
+AGAINST = re.compile(r"(?:invoice|order|reference|ref|code|build|version|ticket|requisition|\bip|section|\bjob|isbn|sku|rechnung|bestellung|auftrag|factura|facture|pedido|commande|referencia|référence)(?:\s(?:no|nr|number|string|code|n[º°])\b\.?)?\W{0,3}$", re.IGNORECASE)
+AFTER_NO = {
+    "phone": re.compile(rf"{_SP}?(?:%|[kMG]B\b|ms\b|km\b|kg\b|[a-z]+s\b)"),
+    "id_number": re.compile(rf"{_SP}?(?:%|[kMG]B\b|ms\b|km\b|kg\b|[a-z]+s\b)"),
+    "person_name": re.compile(rf"{_SP}?(?:&|(?:Inc|Ltd|LLC|GmbH|AG|SA|Group|Street|Avenue|Road|Campus|Office|Harbou?r|Park|Square|University|Labs|Works|Systems)\b)"),
+}
 AFTER_YES = {
     "email": re.compile(r"\s?(?:[>|,/]|</a>)"),
-    "phone": re.compile(r"\s?(?:ext\b|[|,]|after|por la|le matin|before)"),
-    "id_number": re.compile(r"\s?(?:on the form|[.<\n])"),
+    "phone": re.compile(r"\s?(?:ext\b|[|,])"),
+    "id_number": re.compile(r"\s?[.<\n]"),
     "street_address": re.compile(r",?\s?(?:suite|apt|unit|\d{5}|\d+º|[A-Z]{2} \d{5}|hinterhaus|bât|piso|etage|esc)", re.IGNORECASE),
-    "person_name": re.compile(r"\s?(?:leads the|are attached|about the role|at the desk|geführt|gern\b|del puesto|sur le poste|à l'accueil|[|<]|, [+(\d]|, \S+(?:@|\s?[(\[]at|\sAT\s)|[.\n]|$)"),
+    "person_name": re.compile(r"\s?(?:[|<(]|, [+(\d]|, \S+(?:@|\s?[(\[]at|\sAT\s))"),
 }
 _FORMS = {
     "email": re.compile(r".*[A-Za-z][A-Za-z]+$", re.DOTALL),
     "phone": _PLAN,
     "id_number": re.compile(r"(?!.*-00-)(?!000-)(?!\d{8}$)(?:.*)$", re.DOTALL),
 }
-_GIVEN, _FAMILY, _NO_NAME = frozenset(GIVEN), frozenset(FAMILY), frozenset(NO_NAME)
+_NO_NAME = frozenset(NO_NAME)
+_LAST_WORDS = re.compile(r"(\w+)\W*(\w+)?\W*$")
+_NEXT_WORD = re.compile(r"\W*(\w+)?\W*(\w+)?")
+_DIGIT = re.compile(r"\d+")
 UNIT, LINE = "\x1f", "\x1e"
 
 
@@ -133,36 +143,58 @@ def _sign(yes: bool, no: bool = False) -> str:
 
 
 def _inside(text: str, a: int) -> bool:
-    """Whether initials are the middle of a longer name: after a capital word that has a cue."""
-    m = _BEFORE_NAME.search(text, max(0, a - 48), a)
-    return m is not None and bool(CUES["person_name"].search(text[max(0, m.start() - 48) : m.start()]))
+    """Whether initials are the middle of a longer name: after a capital word."""
+    return _BEFORE_NAME.search(text, max(0, a - 64), a) is not None
+
+
+def letters(word: str) -> str:
+    """The letters of a word, small and without accents."""
+    return "".join(c for c in unicodedata.normalize("NFKD", word).casefold() if c.isalpha())
+
 
+def first_and_last(name: str) -> tuple[str, str]:
+    """Given name (or initial) and family name of a name-shaped span, in small letters."""
+    if "," in name:
+        last, first = name.split(",", 1)
+    else:
+        words = name.split()
+        first, last = words[0], words[-1]
+    return first.strip().lower().replace("’", "'"), last.strip().lower().replace("’", "'")
 
-def spans(text: str) -> list[tuple[str, int, int, str]]:
-    """Proposed spans of a text: kind, start, end, votes of the kind's labelers (+, -, 0)."""
+
+def around_words(text: str, a: int, b: int) -> tuple[str, str]:
+    """The word before and the word after a span with the marks that part them, numbers as one."""
+    before, after = text[max(0, a - 40) : a].rpartition("\n")[2], text[b : b + 40].partition("\n")[0]
+    w = before.split()
+    v = after.split()
+    return _DIGIT.sub("9", w[-1].lower()) if w else "", _DIGIT.sub("9", (after[:1].strip() and after[:1]) + v[0].lower()) if v else ""
+
+
+def spans(text: str) -> list[tuple[str, int, int, str, str]]:
+    """Proposed spans of a text: kind, start, end, votes of the kind's labelers (+, -, 0), words around. The first three
+    votes on a name are the corpus' and come later (?)."""
     out = []
+    mails = []
 
-    def around(kind: str, a: int, b: int) -> str:
+    def add(kind: str, a: int, b: int, first: str) -> None:
         before, after = text[max(0, a - 48) : a], text[b : b + 40]
-        return (
-            _sign(bool(CUES[kind].search(before)))
-            + _sign(False, bool(AGAINST.search(before)))
-            + _sign(bool(AFTER_YES[kind].match(after)))
-            + _sign(False, bool(AFTER_NO.match(after)))
-        )
-
-    for m in _near(_AT, EMAIL, text, 80, 120):
-        t = m.group(0)
-        local = re.split(r"@|\s?[(\[{](?:at|@)[)\]}]\s?|\sat\s", t, maxsplit=1, flags=re.IGNORECASE)[0]
-        good = bool(re.search(r"[A-Za-z]{2,}$", t)) and bool(re.search(r"[A-Za-z]", local))
-        named = any(len(p) > 2 and (p in _GIVEN or p in _FAMILY) for p in re.split(r"[^a-z]+", local.lower()))
-        out.append(("email", m.start(), m.end(), _sign(good, not good) + _sign(named, not re.search("[A-Za-z]", local)) + around("email", m.start(), m.end())))
+        no = AFTER_NO.get(kind)
+        votes = first + _sign(bool(CUES[kind].search(before))) + _sign(False, bool(AGAINST.search(before))) + _sign(bool(AFTER_YES[kind].match(after))) + _sign(False, no is not None and bool(no.match(after)))
+        out.append((kind, a, b, votes, "\x1d".join(around_words(text, a, b))))
+
+    if _AT.search(text):
+        for m in EMAIL.finditer(text):
+            t = m.group(0)
+            local = re.split(r"@|\s?[(\[{](?:at|@)[)\]}]\s?|\sat\s", t, maxsplit=1, flags=re.IGNORECASE)[0]
+            mails.append(letters(local))
+            good = bool(re.search(r"[A-Za-z]{2,}$", t)) and bool(re.search(r"[A-Za-z]", local))
+            add("email", m.start(), m.end(), _sign(good, not good) + _sign("@" in t, not re.search("[A-Za-z]", local)))
     for m in _near(_DIGITS, PHONE, text, 3, 3):
         t = m.group(0)
         plan = bool(_PLAN.fullmatch(t))
         n = sum(c.isdigit() for c in t)
         spaced = bool(re.search(r"[ \xa0.()/-]", t))
-        out.append(("phone", m.start(), m.end(), _sign(plan and 9 <= n <= 15, not plan) + _sign(t[0] == "+" or spaced, bool(CUES["id_number"].search(text[max(0, m.start() - 48) : m.start()]))) + around("phone", m.start(), m.end())))
+        add("phone", m.start(), m.end(), _sign(plan and 9 <= n <= 15, not plan) + _sign(t[0] == "+" or spaced, bool(CUES["id_number"].search(text[max(0, m.start() - 48) : m.start()]))))
     for m in _near(_DIGITS, ID, text, 4, 4):
         t = m.group(0)
         before = text[max(0, m.start() - 48) : m.start()]
@@ -171,46 +203,146 @@ def spans(text: str) -> list[tuple[str, int, int, str]]:
         lettered = bool(re.search(r"[A-Z]$|^\d{3}\.\d{3}\.\d{3}-\d\d$|^\d{3}-\d\d-\d{4}$|^[12]\s\d\d\s", t))
         if called and not lettered and _PLAN.fullmatch(t):
             continue
-        out.append(("id_number", m.start(), m.end(), _sign(lettered, odd) + "0" + around("id_number", m.start(), m.end())))
-    for m in _near(_PLACE, ADDRESS, text, 48, 80):
-        t = m.group(0)
-        number = re.search(r"\d+", t)
-        out.append(("street_address", m.start(), m.end(), _sign(True, int(number.group(0)) > 20000) + "0" + around("street_address", m.start(), m.end())))
+        add("id_number", m.start(), m.end(), _sign(lettered, odd) + "0")
+    for m in _near(_PLACE, ADDRESS, text, 256, 512):
+        number = re.search(r"\d+", m.group(0))
+        add("street_address", m.start(), m.end(), _sign(True, int(number.group(0)) > 20000) + "0")
     for m in PERSON.finditer(text):
-        t = m.group(1)
-        if "," in t:
-            last, first = t.split(",", 1)
-        else:
-            words = t.split()
-            first, last = words[0], words[-1]
-        first, last = first.strip().lower().replace("’", "'"), last.strip().lower().replace("’", "'")
-        given, family = first in _GIVEN, last in _FAMILY
+        t, a, b = m.group(1), m.start(1), m.end(1)
+        first, last = first_and_last(t)
+        x, y = letters(first), letters(last)
+        mailed = any((len(y) > 2 and y in g) or (len(x) > 2 and x in g) for g in mails)
+        # two capital words apart by a comma are mostly a list: such a name needs a cue on either side, or an address
+        if "," in t and not (mailed or AFTER_YES["person_name"].match(text, b) or CUES["person_name"].search(text[max(0, a - 48) : a])):
+            continue
         bad = first in _NO_NAME or last in _NO_NAME
-        initial = first.endswith(".") or len(first) == 1
-        a, b = m.start(1), m.end(1)
-        # a name that no gazetteer has needs a cue on either side to be proposed; the votes decide
-        if given or family or AFTER_YES["person_name"].match(text, b) or CUES["person_name"].search(text[max(0, a - 48) : a]):
-            # against such a name: capitals only, a postal code before it, or a word of it in small letters elsewhere in the text
-            plain = not (given or family or bad) and (t.isupper() or bool(_POSTAL.search(text[max(0, a - 10) : a])) or any(re.search(rf"(?<![\w@.+-]){re.escape(w)}{_APART}", text) for w in (first, last) if len(w) > 2))
-            inside = initial and not given and _inside(text, a)
-            out.append(("person_name", a, b, _sign(given or (initial and family and not inside), bad or plain) + _sign(family, bad) + around("person_name", a, b)))
+        inside = len(x) == 1 and _inside(text, a)
+        add("person_name", a, b, "???" + _sign(mailed and not inside, bad or inside))
     return out
 
 
+def _counter(word: str) -> int:
+    return zlib.crc32(word.encode()) % COUNTERS
+
+
+def packed(docs: list[list[tuple[str, int, int, str, str]]], texts: list[str]) -> list[str]:
+    """Spans of each text as one text, fields apart by unit separators."""
+    return [LINE.join(UNIT.join((k, str(a), str(b), k + v, c, t[a:b])) for k, a, b, v, c in got) for got, t in zip(docs, texts, strict=True)]
+
+
 def propose(docs: DataFrame) -> DataFrame:
-    """(doc_id, spans): the proposed spans of each document in one text, fields apart by unit separators."""
+    """(doc_id, spans): the proposed spans of each document."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            got = [LINE.join(UNIT.join((k, str(a), str(b), k + v, t[a:b])) for k, a, b, v in spans(t)) for t in pdf["text"]]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "spans": got})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "spans": packed([spans(t) for t in pdf["text"]], list(pdf["text"]))})
 
     rows = docs.select("doc_id", "text").filter("doc_id is not null and trim(text) <> ''")
     return rows.mapInPandas(run, "doc_id bigint, spans string").filter("spans <> ''")
 
 
+def word_statistics(docs: DataFrame, proposed: DataFrame) -> np.ndarray:
+    """One byte per hashed word: bit 1 written small in a good part of its texts, bit 4 several partners as a first word,
+    bit 8 several as a last word. COUNTERS bytes, whatever the corpus."""
+    kind = lambda x: F.get(F.split(x, UNIT), F.lit(0))
+    names = F.filter(F.split("spans", LINE), lambda x: kind(x) == "person_name")
+
+    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = set()
+            for s in pdf["spans"]:
+                for x in s.split(LINE):
+                    # two capital words apart by a comma are mostly a list, and tell nothing here
+                    if x.startswith("person_name") and "," not in (t := x.rsplit(UNIT, 1)[1]):
+                        first, last = first_and_last(t)
+                        f, g = _counter(first), _counter(last)
+                        if len(first) > 2:
+                            rows.add((f, 0, zlib.crc32(last.encode()) % 63))
+                        rows.add((g, 1, zlib.crc32(first.encode()) % 63))
+            yield pd.DataFrame(list(rows), columns=["w", "place", "lot"])
+
+    met = proposed.filter(F.size(names) > 0).mapInPandas(words, "w int, place int, lot int")
+    met = met.groupBy("w").agg(*[F.bit_count(F.bit_or(F.when(F.col("place") == p, F.expr("shiftleft(1L, lot)")))).alias(f"partners{p}") for p in (0, 1)])
+    # texts per word, written small anywhere and as part of a proposed name
+    small = F.array_distinct(F.regexp_extract_all("text", F.lit(r"(?<![\w@.+'’-])(\p{Ll}[\p{L}'’-]+)(?![\w@+]|\.\w|\s?[(\[{]|\s(?:at|dot)\s)"), 1))
+    lower = docs.filter("text is not null").select(F.explode(small).alias("t")).select(F.pmod(F.crc32(F.regexp_replace("t", "’", "'").cast("binary")), F.lit(COUNTERS)).cast("int").alias("w"))
+    lower = lower.groupBy("w").agg(F.count("*").alias("n_small"))
+    both = F.transform(names, lambda x: F.element_at(F.split(x, UNIT), -1))
+    capital = proposed.select(F.explode(F.array_distinct(F.flatten(F.transform(both, lambda x: F.split(F.regexp_replace(F.lower(x), "’", "'"), r"[, \u00a0\u202f]+"))))).alias("t"))
+    capital = capital.select(F.pmod(F.crc32(F.col("t").cast("binary")), F.lit(COUNTERS)).cast("int").alias("w")).groupBy("w").agg(F.count("*").alias("n_capital"))
+    every = capital.join(lower, "w", "left").join(met, "w", "left").select("w", "n_capital", F.coalesce("n_small", F.lit(0)).alias("n_small"), F.coalesce("partners0", F.lit(0)).alias("p0"), F.coalesce("partners1", F.lit(0)).alias("p1"))
+    bits = (
+        F.when(F.col("n_small") * 4 > F.col("n_capital"), 1).otherwise(0)
+        + F.when(F.col("p0") >= 3, 4).otherwise(0)
+        + F.when(F.col("p1") >= 3, 8).otherwise(0)
+    )
+    rows = every.select("w", bits.cast("int").alias("bits")).withColumn("k", F.expr("w div 65536"))
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"k": [int(pdf["k"].iloc[0])], "w": [pdf["w"].to_numpy(np.int32).tobytes()], "bits": [pdf["bits"].to_numpy(np.uint8).tobytes()]})
+
+    out = np.zeros(COUNTERS, np.uint8)
+    for r in rows.groupBy("k").applyInPandas(pack, "k bigint, w binary, bits binary").collect():
+        out[np.frombuffer(r.w, np.int32)] = np.frombuffer(r.bits, np.uint8)
+    return out
+
+
+def settle(votes: str, name: str, statistics: np.ndarray, given: int = 16, family: int = 32) -> str:
+    """A name's votes with the corpus' own in place of the question marks; given and family: the bits that speak for a name."""
+    first, last = first_and_last(name)
+    x, y = int(statistics[_counter(first)]), int(statistics[_counter(last)])
+    initial = len(first.rstrip(".")) == 1
+    small = _sign(False, y & 1 > 0 or (not initial and x & 1 > 0))
+    return votes.replace("???", small + _sign(initial or x & given > 0) + _sign(y & family > 0), 1)
+
+
+def settled(proposed: DataFrame, statistics: Broadcast, given: int = 16, family: int = 32) -> DataFrame:
+    """Proposed spans with all votes."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for s in pdf["spans"]:
+                lines = []
+                for x in s.split(LINE):
+                    k, a, b, v, c, t = x.split(UNIT, 5)
+                    lines.append(UNIT.join((k, a, b, settle(v, t, statistics.value, given, family), c, t)) if k == "person_name" else x)
+                out.append(LINE.join(lines))
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "spans": out})
+
+    return proposed.mapInPandas(run, "doc_id bigint, spans string")
+
+
+def learn_names(spans_of: DataFrame, soft: dict[str, float], statistics: np.ndarray, sure: float = 0.9) -> np.ndarray:
+    """The statistics with a gazetteer learned from spans that are surely names: bit 16 given, bit 32 family names. A word that
+    is also met surely on the other side, or written small, is learned where it was met."""
+    strong = {p for p, q in soft.items() if _kind(p) == "person_name" and q >= sure}
+
+    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = set()
+            for s in pdf["spans"]:
+                for x in s.split(LINE):
+                    k, _, _, p, _, t = x.split(UNIT, 5)
+                    if p in strong:
+                        first, last = first_and_last(t)
+                        if len(first.rstrip(".")) > 1:
+                            rows.add((_counter(first), 16))
+                        rows.add((_counter(last), 32))
+            yield pd.DataFrame(list(rows), columns=["w", "bit"])
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"k": [int(pdf["k"].iloc[0])], "w": [pdf["w"].to_numpy(np.int32).tobytes()], "bits": [pdf["bits"].to_numpy(np.uint8).tobytes()]})
+
+    met = spans_of.mapInPandas(words, "w int, bit int").groupBy("w").agg(F.bit_or("bit").alias("bits")).withColumn("k", F.expr("w div 65536"))
+    out = statistics.copy()
+    for r in met.groupBy("k").applyInPandas(pack, "k bigint, w binary, bits binary").collect():
+        out[np.frombuffer(r.w, np.int32)] |= np.frombuffer(r.bits, np.uint8)
+    return out
+
+
 def patterns(proposed: DataFrame) -> list[tuple[str, int]]:
-    """Vote patterns and their counts over all spans; at most 3^6 per kind."""
+    """Vote patterns and their counts over all spans; at most 3^8 per kind."""
     one = proposed.select(F.explode(F.split("spans", LINE)).alias("s")).select(F.get(F.split("s", UNIT), F.lit(3)).alias("p"))
     return [(r.p, r.n) for r in one.groupBy("p").agg(F.count("*").alias("n")).orderBy("p").collect()]
 
@@ -245,31 +377,60 @@ def estimate(counts: list[tuple[str, int]], rounds: int = 60, prior: float = 0.0
     return out
 
 
-def train(counts: list[tuple[str, int]], soft: dict[str, float], steps: int = 800, rate: float = 0.5, l2: float = 1e-3) -> dict[str, float]:
-    """The span classifier: one logistic model per kind over votes and pairs of votes, fitted to the posteriors; returns each pattern's score."""
+def features(pattern: str, kind: str, context: str, text: str) -> list[int]:
+    """Places of a span's features that are on: votes, and hashed words around and shape. Spans of one kind have equally many."""
+    votes = pattern[len(kind) :]
+    out = [0] + [1 + 3 * i + "-0+".index(c) for i, c in enumerate(votes)]
+    before, _, after = context.partition("\x1d")
+    shape = "".join(dict.fromkeys("A" if c.isupper() else "a" if c.islower() else "9" if c.isdigit() else c for c in text))
+    for tag, w in (("b", before), ("a", after), ("s", shape)):
+        out.append(1 + 3 * len(votes) + zlib.crc32(f"{tag}{w}".encode()) % HASHED)
+    return out
+
+
+def train(spans_of: list[tuple[str, str, str]], soft: dict[str, float], steps: int = 300, l2: float = 2e-4) -> dict[str, np.ndarray]:
+    """The span classifier: one logistic model per kind over votes and contexts, fitted to the posteriors of (pattern, context, text); its weights."""
     out = {}
     for kind in KINDS:
-        mine = [(p, n) for p, n in counts if _kind(p) == kind]
+        mine = [(p, c, t) for p, c, t in spans_of if _kind(p) == kind and p in soft]
         if not mine:
             continue
-        v = np.array([[{"-": -1.0, "0": 0.0, "+": 1.0}[c] for c in p[len(kind) :]] for p, _ in mine])
-        x = np.hstack([np.ones((len(v), 1)), v > 0, v < 0]).astype(float)
-        y, n = np.array([soft[p] for p, _ in mine]), np.sqrt(np.array([c for _, c in mine], float))
-        n /= n.sum()
-        w = np.zeros(x.shape[1])
+        x = np.array([features(p, kind, c, t) for p, c, t in mine], np.int64)
+        y = np.array([soft[p] for p, _, _ in mine])
+        w = np.zeros(int(x.max()) + 1 + HASHED)
+        moment = np.zeros_like(w)
+        # votes carry most; the context is damped, so that it decides where votes leave a span near one half
+        scale = np.where(np.arange(x.shape[1]) < x.shape[1] - 3, 1.0, 0.5)
         for _ in range(steps):
-            g = x.T @ (n * (1 / (1 + np.exp(-np.clip(x @ w, -30, 30))) - y)) + l2 * w
-            w -= rate * 4 * g
-        out |= {p: float(s) for (p, _), s in zip(mine, 1 / (1 + np.exp(-np.clip(x @ w, -30, 30))), strict=True)}
+            z = np.clip((w[x] * scale).sum(1), -30, 30)
+            g = np.bincount(x.ravel(), weights=((1 / (1 + np.exp(-z)) - y)[:, None] * scale).ravel(), minlength=len(w)) / len(y) + l2 * w
+            moment += g * g
+            w -= 0.5 * g / (np.sqrt(moment) + 1e-6)
+        out[kind] = w
     return out
 
 
-def choose(line: str, score: dict[str, float], least: float = 0.5) -> list[tuple[str, int, int, str]]:
-    """The spans of one document that the classifier accepts, overlaps resolved."""
+def score(weights: dict[str, np.ndarray], kind: str, pattern: str, context: str, text: str) -> float:
+    """The classifier's belief in one span."""
+    if kind not in weights:
+        return 0.0
+    x = features(pattern, kind, context, text)
+    w = weights[kind]
+    z = float(w[x[:-3]].sum() + 0.5 * sum(w[i] for i in x[-3:] if i < len(w)))
+    return 1 / (1 + np.exp(-min(30.0, max(-30.0, z))))
+
+
+def choose(line: str, weights: dict[str, np.ndarray], known: dict, least: float = 0.5) -> list[tuple[str, int, int, str]]:
+    """The spans of one document that the classifier accepts, overlaps resolved. known: a worker's memory of scores."""
     got = []
     for s in line.split(LINE):
-        kind, a, b, p, t = s.split(UNIT, 4)
-        if (x := score.get(p, 0.0)) >= least:
+        kind, a, b, p, c, t = s.split(UNIT, 5)
+        key = (p, c, tuple(features(p, kind, c, t)[-1:]))
+        if key not in known:
+            if len(known) > 200_000:
+                known.clear()
+            known[key] = score(weights, kind, p, c, t)
+        if (x := known[key]) >= least:
             got.append((-round(x, 3), int(a) - int(b), int(a), int(b), kind, t))
     taken: list[tuple[int, int]] = []
     out = []
@@ -280,40 +441,56 @@ def choose(line: str, score: dict[str, float], least: float = 0.5) -> list[tuple
     return sorted(out, key=lambda x: x[1])
 
 
-def model(docs: DataFrame) -> tuple[DataFrame, dict[str, float], dict[str, float], list[tuple[str, int]]]:
-    """Proposed spans (written once), the classifier's scores, the posteriors and the counts of all patterns."""
-    proposed = Scratch(docs.sparkSession, "pii").keep(propose(docs), "proposed")
-    counts = patterns(proposed)
-    soft = estimate(counts)
-    return proposed, train(counts, soft), soft, counts
+class Model:
+    """What the corpus taught: statistics of words, the classifier's weights, the posteriors and counts of vote patterns."""
+
+    def __init__(self, docs: DataFrame):
+        scratch = Scratch(docs.sparkSession, "pii")
+        proposed = scratch.keep(propose(docs), "proposed")
+        context = docs.sparkSession.sparkContext
+        statistics = word_statistics(docs, proposed)
+        # first round: words that recombine; second: the names learned from it
+        before = scratch.keep(settled(proposed, context.broadcast(statistics), 4, 8), "before")
+        self.statistics = context.broadcast(learn_names(before, estimate(patterns(before)), statistics))
+        self.spans = scratch.keep(settled(proposed, self.statistics), "spans")
+        self.counts = patterns(self.spans)
+        self.soft = estimate(self.counts)
+        one = self.spans.select(F.explode(F.split("spans", LINE)).alias("s")).select(*[F.get(F.split("s", UNIT), F.lit(i)).alias(n) for i, n in ((3, "p"), (4, "c"), (5, "t"))], F.xxhash64("s", F.monotonically_increasing_id()).alias("h"))
+        drawn = one.orderBy("h").limit(TRAINING).collect()
+        self.weights = train([(r.p, r.c, r.t) for r in drawn], self.soft)
 
 
 def details(docs: DataFrame) -> DataFrame:
     """(doc_id, pii_kind, pii_text): every distinct personal detail of each document, as written."""
-    proposed, score, _, _ = model(docs)
+    model = Model(docs)
+    weights = model.weights
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict = {}
         for pdf in batches:
-            rows = [(d, k, t) for d, s in zip(pdf["doc_id"], pdf["spans"], strict=True) for k, t in dict.fromkeys((k, t) for k, _, _, t in choose(s, score))]
+            rows = [(d, k, t) for d, s in zip(pdf["doc_id"], pdf["spans"], strict=True) for k, t in dict.fromkeys((k, t) for k, _, _, t in choose(s, weights, known))]
             yield pd.DataFrame(rows, columns=["doc_id", "pii_kind", "pii_text"])
 
-    return proposed.mapInPandas(run, "doc_id bigint, pii_kind string, pii_text string").distinct()
+    return model.spans.mapInPandas(run, "doc_id bigint, pii_kind string, pii_text string").distinct()
 
 
 def redacted(docs: DataFrame) -> DataFrame:
-    """(doc_id, text): every text with its details replaced by typed placeholders such as [EMAIL]."""
-    proposed, score, _, _ = model(docs)
+    """(doc_id, text): every text with its details replaced by typed placeholders such as [EMAIL]. Each row is read once
+    more and redacted by the spans of its own text; no text is shuffled."""
+    model = Model(docs)
+    weights, statistics = model.weights, model.statistics
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict = {}
         for pdf in batches:
             out = []
-            for t, s in zip(pdf["text"], pdf["spans"], strict=True):
-                if isinstance(t, str) and isinstance(s, str) and s:
-                    for k, a, b, _ in reversed(choose(s, score)):
-                        t = f"{t[:a]}[{k.upper()}]{t[b:]}"
+            for t in pdf["text"]:
+                if isinstance(t, str) and t.strip():
+                    got = [(k, a, b, settle(v, t[a:b], statistics.value) if k == "person_name" else v, c) for k, a, b, v, c in spans(t)]
+                    if got:
+                        for k, a, b, _ in reversed(choose(packed([got], [t])[0], weights, known)):
+                            t = f"{t[:a]}[{k.upper()}]{t[b:]}"
                 out.append(t)
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "text": out})
 
-    texts = docs.select("doc_id", "text").filter("doc_id is not null")
-    one = texts.groupBy("doc_id").agg(F.max("text").alias("text"))
-    return one.join(proposed.groupBy("doc_id").agg(F.max("spans").alias("spans")), "doc_id", "left").mapInPandas(run, "doc_id bigint, text string")
+    return docs.select("doc_id", "text").mapInPandas(run, "doc_id bigint, text string")

@@ -1,57 +1,72 @@
+import random
+
 import pytest
 
 from siltstone.llm import pii
 
-TRUE = {
-    1: ("Recruiter: Ilka Villardieu <ilka+jobs@brookvale.example> / 294-555-0123 Every second sprint.", {("person_name", "Ilka Villardieu"), ("email", "ilka+jobs@brookvale.example"), ("phone", "294-555-0123")}),
-    2: ("Contact: cosmin+jobs [at] mail [dot] selbek [dot] test. Sie berichten.", {("email", "cosmin+jobs [at] mail [dot] selbek [dot] test")}),
-    3: ("Write to heidebruch_haruko AT talent-ormwick DOT example before Friday.", {("email", "heidebruch_haruko AT talent-ormwick DOT example")}),
-    4: ("Kontakt: O'Farradane, Torben, +49 30 23125 432, torben.ofarradane19@wexfield.example", {("person_name", "O'Farradane, Torben"), ("phone", "+49 30 23125 432"), ("email", "torben.ofarradane19@wexfield.example")}),
-    5: ("Phone: +1-883-555-0136 ext. 14\nPellmere Works is hiring.", {("phone", "+1-883-555-0136")}),
-    6: ("Tél. : +33 (0)1 99 00 16 82\nUn plus.", {("phone", "+33 (0)1 99 00 16 82")}),
-    7: ("The candidate gave SSN 941-89-5230 on the form.", {("id_number", "941-89-5230")}),
-    8: ("Au dossier figure NIR 1 53 18 55 798 440 64.", {("id_number", "1 53 18 55 798 440 64")}),
-    9: ("On file: NINO QQ 98 21 57 A. Our group.", {("id_number", "QQ 98 21 57 A")}),
-    10: ("Interviews are held at 4979 West Ostermoor Ave, Suite 210. Next.", {("street_address", "4979 West Ostermoor Ave")}),
-    11: ("Anschrift: Farrowgatestr. 42, 10999 Altbruck", {("street_address", "Farrowgatestr. 42")}),
-    12: ("La entrevista es en Avenida Ostermoor nº 27, 00999 Vila Clara.", {("street_address", "Avenida Ostermoor nº 27")}),
-    13: ("Adresse : 112 bis rue Millrace, 00750 Montclare Pendant.", {("street_address", "112 bis rue Millrace")}),
-    14: ("Notes by Dr. G. Belmontado are attached.", {("person_name", "G. Belmontado")}),
-    15: ("Spoke with Anselm M. Heidebruch about the role.", {("person_name", "Anselm M. Heidebruch")}),
-    16: ("Consta el DNI 74625071L. Reportas.", {("id_number", "74625071L")}),
-}
-FALSE = [
-    "Order 8581077858 was shipped with 24 Street banners.", "Invoice 4134 2980 134 covers the Harrowgate campus.", "Budget code 953-00-9148 applies to this opening.", "Reference no. 0091443114 must be quoted.",
-    "Version string 11.370.7679@stable is pinned.", "Follow @brookvale_jobs for updates.", "Solvei Harbour and the Fintan office share a lift.", "The Torvander & Quellmaar partnership owns the site.",
-    "The Perla Avenue exhibit drew 3489 visitors in 9 weeks.", "IP 192.0.2.10 was blocked by the crawler.", "Build 10.14.7412 of the crawler fixed ticket 122-7412.", "Requisition REQ-946-1746 stays open until 2025-12-28.",
-    "Use decorator @task.retry in job 558.", "Maps show 766 lanes and 3973 courts near the campus.", "If legacy feeds fail at night, the rota wakes up.",
+GIVEN = "Emily John Priya Lars Chiara Mateo Aisha Dmitri Hannah Kofi Yuki Pedro".split()
+FAMILY = "Johnson Nakamura Okafor Lindqvist Moretti Fernández Kowalski O'Brien Haddad Petrov Weber Silva".split()
+TEMPLATES = [
+    ("Please email our recruiter {name} at {mail} before the deadline.", ("name", "mail")),
+    ("I spoke with {name} yesterday, and the offer is on its way.", ("name",)),
+    ("Contact: {name} | {phone} | {mail}", ("name", "phone", "mail")),
+    ("Ansprechpartnerin: Frau {name}, {phone}", ("name", "phone")),
+    ("Interviews take place at {street}, Suite 12.", ("street",)),
+    ("The candidate gave SSN {ssn} on the form.", ("ssn",)),
+    ("{name} built the team here.", ("name",)),
+]
+DECOYS = [
+    "Invoice 4411 2280 334 was paid.", "Order 7741077858 left the depot.", "We run Data Nights with the Harbour Office.", "Our Values and Our Team matter. Your Benefits: a bike.",
+    "Smith & Partners Group opened a campus.", "Version 12.4.7780 is out.", "Ihre Aufgaben: Berichte pflegen. Ihre Vorteile: Urlaub.", "Apache Spark and Google Cloud are used daily. Our team likes both.",
 ]
+KIND = {"name": "person_name", "mail": "email", "phone": "phone", "street": "street_address", "ssn": "id_number"}
+
+
+def corpus(n=900, seed=4):
+    rnd = random.Random(seed)
+    rows, want = [], set()
+    for i in range(n):
+        if rnd.random() < 0.3:
+            rows.append((i, rnd.choice(DECOYS), "clash"))
+            continue
+        g, f = rnd.choice(GIVEN), rnd.choice(FAMILY)
+        v = {
+            "name": f"{g} {f}", "mail": f"{pii.letters(g)}.{pii.letters(f)}@firm{rnd.randrange(9)}.example", "phone": f"+1 {rnd.randrange(210, 989)}-555-{rnd.randrange(1000, 9999)}",
+            "street": f"{rnd.randrange(1, 999)} {rnd.choice(['Cedar', 'Maple', 'Birch'])} Street", "ssn": f"{rnd.randrange(100, 665)}-{rnd.randrange(10, 99)}-{rnd.randrange(1000, 9999)}",
+        }
+        text, parts = rnd.choice(TEMPLATES)
+        rows.append((i, text.format(**v), "clash"))
+        want |= {(i, KIND[p], v[p]) for p in parts}
+    return rows, want
 
 
 @pytest.fixture(scope="module")
-def docs(spark):
-    rows = [(i, t, "clash") for i, (t, _) in TRUE.items()] * 1 + [(100 + i, t, "clash") for i, t in enumerate(FALSE)]
-    # the estimates need numbers: every text many times over, under other ids
-    many = [(1000 * k + i, t, x) for k in range(8) for i, t, x in rows]
-    return spark.createDataFrame([*many, (90001, None, ""), (90002, " ", ""), (90003, "x" * 200_000 + " Spoke with Ilka Zubiretta about the role.", ""), (1, TRUE[1][0], "")], "doc_id bigint, text string, pii_kind string")
+def made(spark):
+    rows, want = corpus()
+    long = "x" * 150 + "@" + "y" * 250 + ".example"
+    extra = [(90001, None, ""), (90002, " ", ""), (90003, "z" * 100_000 + " Please email our recruiter Emily Weber at e.weber@firm.example.", ""), (90004, f"Contact: {long} today", ""), (90005, rows[0][1], ""), (90005, "Contact: Emily Silva | +1 415-555-2671 | s@a.example", ""), (None, "Contact: Emily Silva | +1 415-555-2671 | e@a.example", "")]
+    return spark.createDataFrame(rows + extra, "doc_id bigint, text string, pii_kind string"), want, long
 
 
-def test_details(docs):
-    got: dict = {}
-    for r in pii.details(docs).collect():
-        got.setdefault(r.doc_id, []).append((r.pii_kind, r.pii_text))
-    for i, (t, want) in TRUE.items():
-        assert sorted(got.get(i, [])) == sorted(want), t
-    for i, t in enumerate(FALSE):
-        assert got.get(100 + i, []) == [], t
-    assert got[90003] == [("person_name", "Ilka Zubiretta")]
+def test_details_of_names_on_no_list(made):
+    docs, want, long = made
+    got = {(r.doc_id, r.pii_kind, r.pii_text) for r in pii.details(docs).collect()}
+    assert (90004, "email", long) in got and (90003, "email", "e.weber@firm.example") in got and (90003, "person_name", "Emily Weber") in got
+    for kind in pii.KINDS:
+        found, true = {x for x in got if x[1] == kind and x[0] < 90000}, {x for x in want if x[1] == kind}
+        assert len(found & true) >= 0.9 * len(true), (kind, sorted(true - found)[:5])
+        assert len(found & true) >= 0.9 * len(found), (kind, sorted(found - true)[:5])
 
 
-def test_redacted(docs):
-    got = {r.doc_id: r.text for r in pii.redacted(docs).collect()}
-    assert got[1] == "Recruiter: [PERSON_NAME] <[EMAIL]> / [PHONE] Every second sprint."
-    assert got[10] == "Interviews are held at [STREET_ADDRESS], Suite 210. Next."
-    assert got[100] == FALSE[0] and got[90001] is None and got[90002] == " "
+def test_redacted_rows_keep_their_own_text(made):
+    docs, _, _ = made
+    got: dict = {}
+    for r in pii.redacted(docs).collect():
+        got.setdefault(r.doc_id, []).append(r.text)
+    assert got[90001] == [None] and got[90002] == [" "]
+    assert got[None] == ["Contact: [PERSON_NAME] | [PHONE] | [EMAIL]"]
+    assert "Contact: [PERSON_NAME] | [PHONE] | [EMAIL]" in got[90005] and len(got[90005]) == 2
+    assert got[90004] == ["Contact: [EMAIL] today"]
 
 
 def test_empty(spark):
@@ -62,32 +77,18 @@ def test_empty(spark):
 def test_estimates_follow_the_reliable_labelers():
     counts = [("email+++000", 500), ("email++00+0", 300), ("email--0-0-", 400), ("email-00-0-", 200), ("email+00000", 50)]
     soft = pii.estimate(counts)
-    score = pii.train(counts, soft)
     assert soft["email+++000"] > 0.95 and soft["email--0-0-"] < 0.05
-    assert score["email++00+0"] > 0.5 > score["email-00-0-"]
-
-
-def test_names_that_no_list_has(spark, monkeypatch):
-    """One cue is enough to propose a name; with the lists emptied, cues and votes alone find it."""
-    monkeypatch.setattr(pii, "_GIVEN", frozenset())
-    monkeypatch.setattr(pii, "_FAMILY", frozenset())
-    found = lambda t: {(t[a:b], v) for k, a, b, v in pii.spans(t) if k == "person_name"}
-    assert ("Abeke Thornquist", "00+000") in found("Recruiter: Abeke Thornquist und das Team")
-    assert ("Abeke Thornquist", "0000+0") in found("gestern war Abeke Thornquist | abeke@x.example")
-    assert ("Data Nights", "--00+0") in found("We run Data Nights.")
-    assert ("Neue Plattform", "-000+0") in found("Eine neue plattform. Neue Plattform.")
-    texts = ["Recruiter: Abeke Thornquist <a@x.example>"] * 40 + ["Recruiter: Abeke Thornquist und das Team"] * 5 + ["Our Data Nights."] * 60
-    counts: dict = {}
-    for t in texts:
-        for k, _, _, v in pii.spans(t):
-            counts[k + v] = counts.get(k + v, 0) + 1
-    counts = sorted(counts.items())
-    score = pii.train(counts, pii.estimate(counts))
-    assert score["person_name00+0+0"] > 0.5 and score["person_name00+000"] > 0.5 > score["person_name--00+0"]
-
-
-def test_initials_inside_a_longer_name():
-    found = lambda t: {t[a:b]: v for k, a, b, v in pii.spans(t) if k == "person_name"}
-    got = found("Recruiter: Xenobia K. Rautavirta | phone")
-    assert got["Xenobia K. Rautavirta"][:3] == "0++" and got["K. Rautavirta"][:2] == "0+"
-    assert found("straße 78 in Altbruck W. Quellmaar | x")["W. Quellmaar"][:2] == "++"
+    weights = pii.train([(p, "a\x1db", "x@y.example") for p, n in counts for _ in range(n)], soft)
+    assert pii.score(weights, "email", "email++00+0", "a\x1db", "x@y.example") > 0.5 > pii.score(weights, "email", "email-00-0-", "a\x1db", "x@y.example")
+
+
+def test_contexts_decide_where_votes_do_not():
+    """A span of undecided votes follows the words around it, learned from spans whose votes are clear."""
+    soft = {"email+++000": 0.99, "email--0-0-": 0.01, "email000000": 0.5}
+    seen = [("email+++000", "good\x1d", "a")] * 300 + [("email--0-0-", "bad\x1d", "a")] * 300 + [("email000000", "other\x1d", "a")] * 20
+    w = pii.train(seen, soft)
+    assert pii.score(w, "email", "email000000", "good\x1d", "a") > 0.5 > pii.score(w, "email", "email000000", "bad\x1d", "a")
+
+
+def test_first_and_last():
+    assert pii.first_and_last("O’Brien, Emily") == ("emily", "o'brien") and pii.first_and_last("E. M. Weber") == ("e.", "weber")

@@ -57,8 +57,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p5_unified(spark: SparkSession, d: str) -> DataFrame:
     lines, schemas, found = _schemas(spark, d)
-    out = drift.unified(lines, drift.canonical_names(found, schemas))
-    return out.select("line_id", "feed_id", "file_id", F.to_json("fields").alias("fields_json"))
+    return drift.unified(lines, drift.canonical_names(found, schemas))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:

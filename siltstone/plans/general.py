@@ -65,13 +65,21 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_skills(spark: SparkSession, d: str) -> DataFrame:
-    trip = nested.triples(table(spark, d, "pass_results"), "pass_file_id", "payload", {k: v for k, v in nested.PASS_ARRAYS.items() if v})
-    group = "result.extraction.skills_classified.must_have_skills[]"
-    out = nested.pivot(trip, group, {"skill": "skill", "years": "years"})
-    return out.select(F.col("record_id").alias("pass_file_id"), F.get("ordinals", F.lit(0)).alias("pos"), "skill", "years")
+    rows = nested.grouped(table(spark, d, "pass_results"), "pass_file_id", "payload", nested.PASS_ARRAYS, r"must_have_skills\[\](?:\.[^\[\]]*)?$")
+    out = nested.pivot(rows, "result.extraction.skills_classified.must_have_skills[]", {"skill": "skill", "years": "years"})
+    return out.select(F.col("record_id").alias("pass_file_id"), F.element_at("ordinals", -1).alias("pos"), "skill", "years")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_notations, p2_found, p2_coverage, p3_found, p3_winners, p5_found, p5_unified, p6_found, p6_skills)}
+def p6_tables(spark: SparkSession, d: str) -> DataFrame:
+    """The flat tables that the records come out as: one row per repeated ancestor, with its parent, rows and columns."""
+    rows = Scratch(spark, "nested").keep(nested.grouped(table(spark, d, "pass_results"), "pass_file_id", "payload", nested.PASS_ARRAYS), "grouped")
+    one = rows.groupBy("grp").agg(F.count("*").alias("n_rows"), F.count_distinct("record_id").alias("n_records"))
+    leaves = rows.select("grp", F.explode(F.map_keys("fields")).alias("leaf")).groupBy("grp").agg(F.count_distinct("leaf").alias("n_columns"))
+    parent = F.regexp_replace(F.regexp_replace("grp", r"\[\]$", ""), r"[^\[\]]*$", "")
+    return one.join(leaves, "grp", "left").select("grp", parent.alias("parent"), "n_rows", "n_records", F.coalesce("n_columns", F.lit(0)).alias("n_columns"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_notations, p2_found, p2_coverage, p3_found, p3_winners, p5_found, p5_unified, p6_found, p6_skills, p6_tables)}
 ORACLE = {
     "p3_found": """with m as (select delivery_id, received_at, regexp_replace(trim(company_id), '\\.0$', '') as cid, regexp_extract(lower(company_url), '/company/([^/?#]+)', 1) as slug, epoch_us(try_cast(first_seen_at as timestamptz)) as moment from company_messages),
   c as (select company_id, regexp_extract(lower(linkedin_url), '/company/([^/?#]+)', 1) as slug from companies), k as (select m.delivery_id, m.received_at, m.moment, coalesce(m.cid, c.company_id, m.slug) as co from m left join c on c.slug = m.slug)

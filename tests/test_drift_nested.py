@@ -110,3 +110,21 @@ def test_triples_round_trip(spark):
     got = {(p, tuple(o), v, k) for p, o, v, k in nested.triples_of(json.dumps(record), {})}
     assert {("a[].b", (0,), "1", "number"), ("a[].c[]", (0, 0), "true", "boolean"), ("a[].c[]", (0, 1), None, "null"), ("a[].b", (1,), "2.5", "number"), ("d.e", (), "x", "string")} <= got
     assert nested.ancestor("a[].c[].d") == "a[].c[]" and nested.ancestor("d.e") == ""
+
+
+def test_positions_under_other_arrays(spark):
+    """An array above doesn't change what position an element has in its own."""
+    got = items(spark, {"result": {"runs": [{}, {"must_have_skills": [{"skill": "a"}, {"skill": "b", "evidence": ["q", None, "r"]}]}]}})
+    assert got == {(1, "skill", 0, -1, "a"), (1, "skill", 1, -1, "b"), (1, "skill_evidence", 1, 0, "q"), (1, "skill_evidence", 1, 2, "r")}
+
+
+def test_a_table_for_every_repeated_ancestor(spark):
+    record = {"id": 7, "a": [{"b": 1, "c": [True, None, False]}, None, {"b": 2.5, "ordinals": "x"}], "d": {"e": "x"}}
+    df = spark.createDataFrame([(1, json.dumps(record)), (2, "{"), (3, None)], "k bigint, t string")
+    got = {g: sorted(map(tuple, t.collect())) for g, t in nested.tables(nested.grouped(df, "k", "t")).items()}
+    assert got == {
+        "": [(1, [], [], "x", "7")],
+        "a[]": [(1, [0], [], "1", None), (1, [1], [], None, None), (1, [2], [], "2.5", "x")],
+        "a[].c[]": [(1, [0, 0], [0], "true"), (1, [0, 1], [0], None), (1, [0, 2], [0], "false")],
+    }
+    assert nested.groups(nested.grouped(df, "k", "t")) == {"": ["d.e", "id"], "a[]": ["b", "ordinals"], "a[].c[]": [""]}

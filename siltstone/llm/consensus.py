@@ -102,11 +102,12 @@ def _counts(post: DataFrame, annotators: list[str], k: int) -> np.ndarray:
     return out
 
 
-def fit(vote: DataFrame, classes: list[str], scratch: Scratch, rounds: int = 60, alpha: float = 0.5, diagonal: float = 1.0, tol: float = 2e-4) -> Consensus:
+def fit(vote: DataFrame, classes: list[str], scratch: Scratch, rounds: int = 600, alpha: float = 0.5, diagonal: float = 1.0, tol: float = 2e-4) -> Consensus:
     """Fits the model to votes (item, annotator, label). alpha: Dirichlet prior of every cell, plus `diagonal` on the right one.
 
-    rounds bounds the updates. Plain updates converge slowly where annotators are weak, so each two are followed by
-    a squared extrapolation of the counts, taken back where it leaves the positive range.
+    Plain updates converge slowly where annotators are weak, so of the first sixty each two are followed by a squared
+    extrapolation of the counts, taken back where it leaves the positive range; later ones are plain, which always rise.
+    Counts that haven't settled after `rounds` updates are an error.
     """
     k = len(classes)
     index = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(i))])
@@ -117,7 +118,7 @@ def fit(vote: DataFrame, classes: list[str], scratch: Scratch, rounds: int = 60,
     now = _counts(packed.select("item", "vs", F.array(*[share(c) for c in range(k)]).alias("post")), annotators, k)
     step = lambda c: _counts(_posteriors(packed, c, annotators, alpha, diagonal), annotators, k)
     limit = tol * max(1.0, now[-1].sum())
-    for _ in range(max(1, rounds // 2) if annotators else 0):
+    for n in range(rounds // 2 if annotators else 0):
         one = step(now)
         if np.abs(one - now).max() <= limit:
             now = one
@@ -126,7 +127,10 @@ def fit(vote: DataFrame, classes: list[str], scratch: Scratch, rounds: int = 60,
         r, v = one - now, two - 2 * one + now
         size = min(-1.0, -float(np.linalg.norm(r) / max(np.linalg.norm(v), 1e-12)))
         jump = now - 2 * size * r + size * size * v
-        now = jump if (jump >= 0).all() else two
+        now = jump if n < 30 and (jump >= 0).all() else two
+    else:
+        if annotators:
+            raise RuntimeError(f"the counts of annotators haven't settled after {rounds} updates")
     post = scratch.keep(_posteriors(packed, now, annotators, alpha, diagonal), "post")
     flat = post.select(F.explode("vs").alias("v"), "post").select("v.annotator", "v.l", F.posexplode("post").alias("t", "p"))
     counts = flat.groupBy("annotator", F.col("t").alias("truth"), F.col("l").alias("label")).agg(F.sum("p").alias("n"))

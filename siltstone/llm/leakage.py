@@ -41,7 +41,7 @@ LOOKALIKE = str.maketrans(
     "абвгеѕіјкмнорсԛтухһԁԝӏАВЕЅІЈКМНОРСТУХԚԜαβεικμνορτυχωΑΒΕΖΗΙΚΜΝΟΡΤΥΧıɡⅼ",
     "abbresijkmhopcqtyxhdwlabesijkmhopctyxqwabeikmvoptuxwabezhikmnoptyxigl",
 )
-_TAG = re.compile(r"</?[a-zA-Z][^<>]{0,200}>|&nbsp;|&#160;")
+_TAG = re.compile(r"</?[a-zA-Z!][^<>]*>|&nbsp;|&#160;")
 _MARKS = re.compile("[\u0300-\u036f\u00ad\u200b-\u200f\u2060-\u2064\ufeff]")
 _FOREIGN = re.compile("[\u0131\u0261\u0370-\u052f\u217c]")
 _WORD = re.compile(r"[a-z0-9]+")
@@ -160,7 +160,7 @@ def basis(seqs: DataFrame, idf: np.ndarray, seed: int = 7) -> np.ndarray:
         yield pd.DataFrame({"b": np.array(list(sums), np.int32), "y": [v.astype(np.float32).tobytes() for v in sums.values()]})
 
     y = np.zeros((BUCKETS, k))
-    for r in part.repartition(16, "b").mapInPandas(add_many, "b int, y binary").collect():
+    for r in part.repartition("b").mapInPandas(add_many, "b int, y binary").collect():
         y[r.b] = np.frombuffer(r.y, np.float32)
     shared.unpersist()
     w = np.random.default_rng(seed).standard_normal((BUCKETS, k), dtype=np.float32).astype(np.float64)
@@ -199,13 +199,14 @@ def run_length(a: np.ndarray, b: np.ndarray, weight: np.ndarray, least: int = SP
     upto = np.concatenate([[0], np.cumsum(weight)])
     blocks = _blocks_of(a, b)
     best = 0
+    longest = max((n for _, _, n in blocks), default=0)
     # chains of blocks: (words so far, replaced so far) of the best chain that ends with each block, from any start
     ends: list[list[tuple[int, int, int]]] = []  # per block: (start in a, replaced, place)
     for k, (i, j, n) in enumerate(blocks):
         mine = {(i, 0)}
         for q in range(k - 1, -1, -1):
             pi, pj, pn = blocks[q]
-            if pi < i - 200:
+            if pi + longest + 3 < i:
                 break
             ga, gb = i - pi - pn, j - pj - pn
             # a replaced word may be a compound on either side; two words replaced together are no single ones
@@ -338,22 +339,31 @@ def search(seqs: DataFrame, items: list[tuple[int, np.ndarray, np.ndarray]], idf
     return seqs.mapInPandas(run, "doc_id bigint, item_id bigint, run_words int, cosine double")
 
 
-def leaks(docs: DataFrame, items: DataFrame, cosine: float = 0.82, max_items: int = 20_000) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, cosine: float = 0.82, block: int = 5_000) -> DataFrame:
     """(doc_id, item_id, run_words, cosine): every document that holds a leaked passage of an item.
 
-    max_items bounds the query set that is sent to the tasks; a larger one is an error, to be run in blocks.
+    Items go to the tasks in blocks of `block`, however many there are; each block is one pass over the coded documents.
     """
     scratch = Scratch(docs.sparkSession, "leaks")
-    query = items.select("item_id", "item_text", "answer").dropDuplicates(["item_id"]).limit(max_items + 1).collect()
-    if len(query) > max_items:
-        raise ValueError(f"more than {max_items} items: call leaks on blocks of them")
-    coded = [(int(r.item_id), codes(r.item_text), weights(r.item_text)) for r in query if r.item_id is not None and r.item_text]
     seqs = scratch.keep(encode(docs, "doc_id", "text"), "seqs")
-    df = document_frequency(seqs)
-    for _, q, _ in coded:
-        df[np.unique(q % BUCKETS)] += 1
+    query = scratch.keep(items.select("item_id", "item_text").filter("item_id is not null and item_text is not null").dropDuplicates(["item_id"]), "items")
+    df = document_frequency(seqs) + document_frequency(encode(query, "item_id", "item_text"))
     idf = np.where(df > 0, np.log((1 + df.max()) / (1 + df)) + 0.05, 0.0)
-    found = scratch.keep(search(seqs, [q for q in coded if q[2].sum() >= SPAN], idf, basis(seqs, idf), cosine), "found")
+    vectors = basis(seqs, idf)
+    found, held = None, []
+
+    def search_block() -> DataFrame:
+        part = scratch.keep(search(seqs, held, idf, vectors, cosine), "found")
+        return part if found is None else found.unionByName(part)
+
+    for r in query.toLocalIterator():
+        weight = weights(r.item_text)
+        if weight.sum() >= SPAN:
+            held.append((int(r.item_id), codes(r.item_text), weight))
+        if len(held) == block:
+            found, held = search_block(), []
+    if held or found is None:
+        found = search_block()
     return found.groupBy("doc_id", "item_id").agg(F.max("run_words").alias("run_words"), F.max("cosine").alias("cosine"))
 
 

@@ -74,3 +74,13 @@ def has_words(c: Column, wanted: list[str]) -> Column:
 def likeness(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity of two texts; no built-in measures it."""
     return pd.Series([SequenceMatcher(None, x, y).ratio() if isinstance(x, str) and isinstance(y, str) else None for x, y in zip(a, b, strict=True)], dtype="float64")
+
+
+# Words that say nothing of a technology.
+GENERIC = ("work", "working", "good", "strong", "great", "experience", "skills", "ability", "knowledge")
+
+
+def probably_non_tech(term: Column) -> Column:
+    """Whether a lower-case term is a figure, speaks of hiring, has hardly a letter, or is made of generic words only."""
+    words = F.filter(F.split(term, " "), lambda x: ~x.isin(*GENERIC))
+    return term.rlike(r"^[0-9.,%$€£ ]+$") | term.rlike(r"\b(years?|months?|benefits?|salary|team|company|office)\b") | (F.length(F.regexp_replace(term, "[^a-z]", "")) < 2) | (F.size(words) == 0)

@@ -19,39 +19,45 @@ def _outliers(cond: Column) -> Column:
 
 
 def categorical(long: DataFrame, keys: list[str]) -> DataFrame:
-    """consensus_value, agreement_rate, entropy, n_models, is_consensus, outliers; all null: rate 0 and no consensus."""
+    """consensus_value (null without consensus), mode, agreement_rate, entropy, n_models, is_consensus, outliers (all that
+    differ from the mode), distribution of the values; all null: rate 0, no consensus and all are outliers."""
     counts = long.filter("value is not null").groupBy(*keys, "value").agg(F.count("*").alias("n"))
     top = counts.groupBy(*keys).agg(F.sum("n").alias("valid"), F.max("n").alias("best"), F.collect_list(F.struct("n", "value")).alias("all"))
     share = lambda x: x["n"] / F.col("valid")
     entropy = F.aggregate("all", F.lit(0.0), lambda a, x: a - share(x) * F.log2(share(x)))
     winner = F.array_min(F.transform(F.filter("all", lambda x: x["n"] == F.col("best")), lambda x: x["value"]))
-    top = top.select(*keys, winner.alias("consensus_value"), (F.col("best") / F.col("valid")).alias("agreement_rate"), entropy.alias("entropy"))
+    shares = F.map_from_entries(F.transform(F.array_sort(F.transform("all", lambda x: F.struct(x["value"], x["n"]))), lambda x: F.struct(x["value"], x["n"])))
+    top = top.select(*keys, winner.alias("mode"), shares.alias("distribution"), (F.col("best") / F.col("valid")).alias("agreement_rate"), entropy.alias("entropy"))
     joined = long.join(top, keys, "left")
     out = joined.groupBy(*keys).agg(
-        F.first("consensus_value").alias("consensus_value"), F.coalesce(F.first("agreement_rate"), F.lit(0.0)).alias("agreement_rate"), F.coalesce(F.first("entropy"), F.lit(0.0)).alias("entropy"),
-        F.count("*").alias("n_models"), _outliers(F.col("value").isNull() | (F.col("value") != F.col("consensus_value"))).alias("outliers"),
+        F.first("mode").alias("mode"), F.first("distribution").alias("distribution"), F.coalesce(F.first("agreement_rate"), F.lit(0.0)).alias("agreement_rate"), F.coalesce(F.first("entropy"), F.lit(0.0)).alias("entropy"),
+        F.count("*").alias("n_models"), _outliers(F.col("value").isNull() | F.col("mode").isNull() | (F.col("value") != F.col("mode"))).alias("outliers"),
     )
-    return out.withColumn("is_consensus", F.col("agreement_rate") >= AGREE)
+    out = out.withColumn("is_consensus", F.col("agreement_rate") >= AGREE)
+    return out.withColumn("consensus_value", F.when(F.col("is_consensus"), F.col("mode")))
 
 
 def numeric(long: DataFrame, keys: list[str], cv_limit: float = 0.15, z_limit: float = 2.0) -> DataFrame:
-    """mean, median, population std, cv, outliers beyond z_limit; consensus where cv <= cv_limit and at most one is null.
+    """consensus_value (the median, null without consensus), mean, median, population std, cv, outliers beyond z_limit; consensus where cv <= cv_limit and at most one is null.
     One value has std 0; a zero mean has cv 0; all null is consensus on null."""
     stat = long.groupBy(*keys).agg(F.avg("value").alias("mean_value"), F.median("value").alias("median_value"), F.coalesce(F.stddev_pop("value"), F.lit(0.0)).alias("std"), F.sum(F.col("value").isNull().cast("int")).alias("n_null"), F.count("*").alias("n_models"))
     stat = stat.withColumn("cv", F.when(F.coalesce(F.col("mean_value"), F.lit(0.0)) == 0, 0.0).otherwise(F.col("std") / F.col("mean_value")))
     joined = long.join(stat, keys)
     z = F.when(F.col("std") > 0, F.abs(F.col("value") - F.col("mean_value")) / F.col("std")).otherwise(0.0)
-    out = joined.groupBy(*keys, "mean_value", "median_value", "std", "cv", "n_null", "n_models").agg(_outliers(F.col("value").isNull() | (z > z_limit)).alias("outliers"))
-    return out.withColumn("is_consensus", (F.col("n_null") == F.col("n_models")) | ((F.col("cv") <= cv_limit) & (F.col("n_null") <= 1)))
+    out = joined.groupBy(*keys, "mean_value", "median_value", "std", "cv", "n_null", "n_models").agg(_outliers((F.col("n_null") < F.col("n_models")) & (F.col("value").isNull() | (z > z_limit))).alias("outliers"))
+    out = out.withColumn("is_consensus", (F.col("n_null") == F.col("n_models")) | ((F.col("cv") <= cv_limit) & (F.col("n_null") <= 1)))
+    return out.withColumn("consensus_value", F.when(F.col("is_consensus"), F.col("median_value")))
 
 
 def boolean(long: DataFrame, keys: list[str]) -> DataFrame:
-    """consensus_value (true wins a tie), agreement_rate, outliers, is_consensus; all null: rate 0."""
-    c = long.groupBy(*keys).agg(F.count_if(F.col("value")).alias("t"), F.count_if(~F.col("value")).alias("f"), F.count("*").alias("n_models"))
-    c = c.withColumn("consensus_value", F.when(F.col("t") + F.col("f") > 0, F.col("t") >= F.col("f")))
-    c = c.withColumn("agreement_rate", F.when(F.col("t") + F.col("f") > 0, F.greatest("t", "f") / (F.col("t") + F.col("f"))).otherwise(0.0))
-    out = long.join(c.drop("t", "f"), keys).groupBy(*keys, "consensus_value", "agreement_rate", "n_models").agg(_outliers(F.col("value").isNull() | (F.col("value") != F.col("consensus_value"))).alias("outliers"))
-    return out.withColumn("is_consensus", F.col("agreement_rate") >= AGREE)
+    """consensus_value (true wins a tie, null without consensus), agreement_rate, outliers (all that differ from the more
+    frequent value), is_consensus; all null: rate 0 and all are outliers."""
+    c = long.groupBy(*keys).agg(F.count_if(F.col("value")).alias("n_true"), F.count_if(~F.col("value")).alias("n_false"), F.count("*").alias("n_models"))
+    said = F.col("n_true") + F.col("n_false") > 0
+    c = c.withColumn("mode", F.when(said, F.col("n_true") >= F.col("n_false"))).withColumn("agreement_rate", F.when(said, F.greatest("n_true", "n_false") / (F.col("n_true") + F.col("n_false"))).otherwise(0.0))
+    out = long.join(c, keys).groupBy(*keys, "mode", "agreement_rate", "n_models", "n_true", "n_false").agg(_outliers(F.col("value").isNull() | (F.col("value") != F.col("mode"))).alias("outliers"))
+    out = out.withColumn("is_consensus", F.col("agreement_rate") >= AGREE)
+    return out.withColumn("consensus_value", F.when(F.col("is_consensus"), F.col("mode")))
 
 
 def lists(long: DataFrame, keys: list[str], keep: float = 0.5) -> DataFrame:

@@ -148,17 +148,19 @@ def lexicon() -> dict[str, tuple[str, str]]:
     return out
 
 
-def solve_notations(stated: DataFrame, fx: DataFrame, periods: DataFrame, rounds: int = 2, support: int = 8, agreement: float = 0.9) -> DataFrame:
+def solve_notations(stated: DataFrame, fx: DataFrame, periods: DataFrame, support: int = 8, agreement: float = 0.9) -> DataFrame:
     """(notation, currency_code, scale, n, share, offset, origin): what each notation means.
 
     stated: entity, notation, amount, period. A notation needs `support` entities of which `agreement` snap to one
-    conversion (within 2 %), with an offset below 2 % of the typical value; else the fixed values decide.
+    conversion (within 2 %), with an offset below 2 % of the typical value; else the fixed values decide. Rounds go on until
+    one solves nothing new: there are at most as many as notations.
     """
     per_year = stated.join(F.broadcast(periods.select(F.col("period_code").alias("period"), "per_year")), "period").select(
         "entity", "notation", F.log(F.col("amount").cast("double") * F.col("per_year")).alias("v")
     )
     # one value per posting and notation, however often a posting was scraped
-    seen = per_year.groupBy("entity", "notation").agg(F.percentile_approx("v", 0.5, 1000).alias("v"))
+    scratch = Scratch(stated.sparkSession, "notations")
+    seen = scratch.keep(per_year.groupBy("entity", "notation").agg(F.percentile_approx("v", 0.5, 1000).alias("v")), "seen")
     scales = F.explode(F.array(*[F.lit(x) for x in ("1", "1000", "0.01", "100000")])).alias("scale")
     # log conversions, each under the 2 % wide buckets that it and its neighbours fall into
     choices = fx.select("currency_code", "usd_rate", scales).select("currency_code", "scale", F.log(F.col("usd_rate") * F.col("scale").cast("double")).alias("w"))
@@ -166,7 +168,7 @@ def solve_notations(stated: DataFrame, fx: DataFrame, periods: DataFrame, rounds
     choices = choices.withColumn("k", F.explode(F.array(bucket("w") - 1, bucket("w"), bucket("w") + 1)))
     nothing = [F.lit(None).cast(t).alias(n) for n, t in (("n", "bigint"), ("share", "double"), ("offset", "double"))]
     solved = fx.select(F.lower("currency_code").alias("notation"), "currency_code", F.lit("1").alias("scale"), F.log("usd_rate").alias("w"), *nothing, F.lit("anchor").alias("origin"))
-    for _ in range(rounds):
+    while True:
         known = seen.join(F.broadcast(solved.select("notation", "w")), "notation")
         hub = known.groupBy("entity").agg(F.percentile_approx(F.col("v") + F.col("w"), 0.5, 1000).alias("hub"))
         ratio = seen.join(F.broadcast(solved.select("notation")), "notation", "left_anti").join(hub, "entity").withColumn("r", F.col("hub") - F.col("v"))
@@ -181,7 +183,11 @@ def solve_notations(stated: DataFrame, fx: DataFrame, periods: DataFrame, rounds
             F.percentile_approx(F.exp("hub"), 0.5).alias("typical"),
         )
         new = checked.filter((F.col("n") >= support) & (F.col("share") >= agreement) & (F.abs("offset") < 0.02 * F.col("typical")))
-        solved = solved.unionByName(new.select("notation", "to.currency_code", "to.scale", "to.w", "n", "share", "offset", F.lit("graph").alias("origin")))
+        # a table of notations, cut off from the round before
+        new = scratch.keep(new.select("notation", "to.currency_code", "to.scale", "to.w", "n", "share", "offset", F.lit("graph").alias("origin")).coalesce(1), "solved")
+        if not new.limit(1).count():
+            break
+        solved = solved.unionByName(new)
     words = [(t, c, x, "fixed") for t, (c, x) in lexicon().items()]
     fixed = stated.sparkSession.createDataFrame(words, "notation string, currency_code string, scale string, origin string")
     rest = fixed.join(solved.select("notation"), "notation", "left_anti")

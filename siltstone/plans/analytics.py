@@ -98,7 +98,7 @@ def agg_passes(t: Tables) -> DataFrame:
 
 @query(f"""with {LATEST}, a as (select job_id, model_name as model, lower(trim(work_model)) as value from latest where pass_num = 1), c as (select job_id, value, count(*) as n from a where value is not null group by 1, 2),
   b as (select job_id, max(n) as best, sum(n) as valid, -sum(n::double / v * log2(n::double / v)) as entropy from (select *, sum(n) over (partition by job_id) as v from c) group by 1), m as (select c.job_id, min(value) as consensus_value from c join b using (job_id) where n = best group by 1)
-  select a.job_id, any_value(m.consensus_value) as consensus_value, round(coalesce(any_value(best::double / valid), 0), 6) as agreement_rate, round(coalesce(any_value(entropy), 0) + 0.0, 6) as entropy, count(*) as n_models,
+  select a.job_id, case when coalesce(any_value(best::double / valid), 0) >= 0.6 then any_value(m.consensus_value) end as consensus_value, round(coalesce(any_value(best::double / valid), 0), 6) as agreement_rate, round(coalesce(any_value(entropy), 0) + 0.0, 6) as entropy, count(*) as n_models,
   array_to_string(coalesce(list_sort(list(model) filter (where value is null or value <> m.consensus_value)), []), '|') as outliers, coalesce(any_value(best::double / valid), 0) >= 0.6 as is_consensus from a left join b using (job_id) left join m using (job_id) group by 1""")
 def red_categorical(t: Tables) -> DataFrame:
     """AGG-12."""
@@ -107,17 +107,18 @@ def red_categorical(t: Tables) -> DataFrame:
 
 
 @query(f"""with {LATEST}, a as (select job_id, model_name as model, tokens::double as value from latest where pass_num = 1), s as (select job_id, avg(value) as m, median(value) as med, coalesce(stddev_pop(value), 0) as sd, count(*) filter (where value is null) as z, count(*) as n from a group by 1)
-  select job_id, round(m, 4) as mean_value, round(med, 4) as median_value, round(any_value(sd), 4) as std, round(case when coalesce(m, 0) = 0 then 0 else any_value(sd) / m end, 6) as cv, n as n_models, array_to_string(coalesce(list_sort(list(model) filter (where value is null or (sd > 0 and abs(value - m) / sd > 2))), []), '|') as outliers,
+  select job_id, round(m, 4) as mean_value, round(med, 4) as median_value, round(any_value(sd), 4) as std, round(case when coalesce(m, 0) = 0 then 0 else any_value(sd) / m end, 6) as cv, n as n_models, array_to_string(coalesce(list_sort(list(model) filter (where z < n and (value is null or (sd > 0 and abs(value - m) / sd > 2)))), []), '|') as outliers,
+  case when any_value(z) < n and (case when coalesce(m, 0) = 0 then 0 else any_value(sd) / m end) <= 0.15 and any_value(z) <= 1 then round(med, 4) end as consensus_value,
   any_value(z) = n or ((case when coalesce(m, 0) = 0 then 0 else any_value(sd) / m end) <= 0.15 and any_value(z) <= 1) as is_consensus from a join s using (job_id) group by job_id, m, med, n""")
 def red_numeric(t: Tables) -> DataFrame:
     """AGG-13, WIN-08."""
     r = reducers.numeric(answers(t, 1, F.col("tokens").cast("double")), KEY)
-    return r.select("job_id", F.round("mean_value", 4).alias("mean_value"), F.round("median_value", 4).alias("median_value"), F.round("std", 4).alias("std"), F.round("cv", 6).alias("cv"), "n_models", F.array_join("outliers", "|").alias("outliers"), "is_consensus")
+    return r.select("job_id", F.round("mean_value", 4).alias("mean_value"), F.round("median_value", 4).alias("median_value"), F.round("std", 4).alias("std"), F.round("cv", 6).alias("cv"), "n_models", F.array_join("outliers", "|").alias("outliers"), F.round("consensus_value", 4).alias("consensus_value"), "is_consensus")
 
 
 @query(f"""with {LATEST}, a as (select job_id, model_name as model, internal_mobility_mentioned as value from latest where pass_num = 2), c as (select job_id, count(*) filter (where value) as y, count(*) filter (where not value) as f, count(*) as n_models from a group by 1),
   d as (select *, case when y + f > 0 then y >= f end as cv, case when y + f > 0 then greatest(y, f)::double / (y + f) else 0 end as r from c)
-  select job_id, cv as consensus_value, round(r, 6) as agreement_rate, n_models, array_to_string(coalesce(list_sort(list(model) filter (where value is null or value <> cv)), []), '|') as outliers, r >= 0.6 as is_consensus from a join d using (job_id) group by job_id, cv, r, n_models""")
+  select job_id, case when r >= 0.6 then cv end as consensus_value, round(r, 6) as agreement_rate, n_models, array_to_string(coalesce(list_sort(list(model) filter (where value is null or value <> cv)), []), '|') as outliers, r >= 0.6 as is_consensus from a join d using (job_id) group by job_id, cv, r, n_models""")
 def red_boolean(t: Tables) -> DataFrame:
     """AGG-14."""
     r = reducers.boolean(answers(t, 2, F.col("internal_mobility_mentioned")), KEY)
@@ -168,7 +169,7 @@ def agreement(t: Tables) -> DataFrame:
     l = latest(t)  # noqa: E741
     a = l.filter("pass_num = 1").select("job_id", F.lit("work_model").alias("field"), F.col("model_name").alias("model"), F.lower(F.trim("work_model")).alias("value"))
     a = a.unionByName(l.filter("pass_num = 2").select("job_id", F.lit("seniority_level").alias("field"), F.col("model_name").alias("model"), F.lower(F.trim("seniority_level")).alias("value")))
-    r = reducers.categorical(a, ["job_id", "field"]).select("job_id", "field", F.col("consensus_value").alias("mode"), F.col("agreement_rate").alias("rate"))
+    r = reducers.categorical(a, ["job_id", "field"]).select("job_id", "field", "mode", F.col("agreement_rate").alias("rate"))
     return a.join(r, ["job_id", "field"])
 
 
@@ -321,11 +322,11 @@ def agg_salary_benchmark(t: Tables) -> DataFrame:
     return s.select("country_code", "salary_currency", "n", *[F.round(F.get("p", F.lit(i)), 3).alias(f"p{q}") for i, q in enumerate((10, 25, 50, 75, 90))])
 
 
-@query("""with s as (select cast(date_trunc('week', ingested_at) as date) as week, unnest(skills_canonical) as skill from silver_postings), c as (select week, skill, count(*) as n from s group by 1, 2) select week, skill, n, rank() over (partition by week order by n desc) as demand_rank, n - lag(n, 4) over (partition by skill order by week) as growth_4 from c""")
+@query("""with s as (select cast(date_trunc('week', ingested_at) as date) as week, unnest(skills_canonical) as skill from silver_postings), c as (select week, skill, count(*) as n from s group by 1, 2) select week, skill, n, rank() over (partition by week order by n desc) as demand_rank, (n - sum(n) over (partition by skill order by week range between interval 28 days preceding and interval 28 days preceding))::bigint as growth_4 from c""")
 def agg_skill_demand(t: Tables) -> DataFrame:
-    """AGG-48, AGG-49: weekly demand, its rank, and growth against four entries before."""
+    """AGG-48, AGG-49: weekly demand, its rank, and growth against four weeks before, null where there was none."""
     c = t.silver_postings.select(F.to_date(F.date_trunc("week", "ingested_at")).alias("week"), F.explode("skills_canonical").alias("skill")).groupBy("week", "skill").agg(F.count("*").alias("n"))
-    return c.select("week", "skill", "n", F.rank().over(W.partitionBy("week").orderBy(F.desc("n"))).alias("demand_rank"), (F.col("n") - F.lag("n", 4).over(W.partitionBy("skill").orderBy("week"))).alias("growth_4"))
+    return c.select("week", "skill", "n", F.rank().over(W.partitionBy("week").orderBy(F.desc("n"))).alias("demand_rank"), (F.col("n") - F.sum("n").over(W.partitionBy("skill").orderBy(F.unix_date("week")).rangeBetween(-28, -28))).alias("growth_4"))
 
 
 @query("""with h as (select hour(ingested_at) as hour, isodow(ingested_at) as dow, count(*) as n from silver_postings group by 1, 2) select hour, dow, n, round(100.0 * n / sum(n) over (), 5) as pct, ntile(5) over (order by n desc, hour, dow) as fifth from h""")
@@ -424,3 +425,50 @@ def tpc_pricing_summary(t: Tables) -> DataFrame:
 def stm_daily_windows(t: Tables) -> DataFrame:
     """STM-01 in batch: tumbling windows of the event stream."""
     return t.events.groupBy("user_id", F.window("ts", "1 day").alias("w")).agg(F.count("*").alias("n")).select("user_id", F.date_format("w.start", "yyyy-MM-dd").alias("window_start"), "n")
+
+
+@query(f"""with {AGREE} select model, field, case field when 'work_model' then 1 else 2 end as pass_num, count(*) as n, count(*) filter (where value is null or value <> mode) as n_outliers from e group by 1, 2""")
+def agg_outliers(t: Tables) -> DataFrame:
+    """AGG-31: outliers by model, field and pass."""
+    e = agreement(t)
+    out = F.coalesce(F.col("value").isNull() | (F.col("value") != F.col("mode")), F.lit(False))
+    return e.groupBy("model", "field").agg(F.count("*").alias("n"), F.count_if(out).alias("n_outliers")).withColumn("pass_num", F.when(F.col("field") == "work_model", 1).otherwise(2))
+
+
+@query(f"""with {AGREE}, f as (select distinct job_id, field, rate from e), j as (select job_id, avg(rate) as r from f group by 1) select case when r >= 0.8 then 'high' when r >= 0.6 then 'medium' else 'low' end as level, count(*) as n_jobs, round(avg(r), 6) as mean_rate, round(min(r), 6) as least_rate, round(max(r), 6) as most_rate from j group by 1""")
+def agg_consensus_levels(t: Tables) -> DataFrame:
+    """AGG-27: the distribution of jobs' consensus rates."""
+    j = agreement(t).select("job_id", "field", "rate").distinct().groupBy("job_id").agg(F.avg("rate").alias("r"))
+    level = F.when(F.col("r") >= 0.8, "high").when(F.col("r") >= 0.6, "medium").otherwise("low")
+    return j.groupBy(level.alias("level")).agg(F.count("*").alias("n_jobs"), F.round(F.avg("r"), 6).alias("mean_rate"), F.round(F.min("r"), 6).alias("least_rate"), F.round(F.max("r"), 6).alias("most_rate"))
+
+
+@query("""with w as (select record_id, list_filter(regexp_split_to_array(trim(regexp_replace(lower(job_title), '[^a-z0-9]+', ' ', 'g')), ' '), lambda x: x not in ('the', 'and', 'of', 'for', 'in', 'a', 'to', 'with', '')) as w from silver_postings where job_title is not null),
+  n as (select unnest(range(1, 6)) as n), g as (select distinct record_id, n.n, unnest(list_transform(range(1, len(w) - n.n + 2), lambda i: array_to_string(w[i:i + n.n - 1], ' '))) as gram from w, n where len(w) >= n.n),
+  d as (select n, gram, count(*) as n_docs from g group by 1, 2), t as (select count(*) as docs from w), s as (select n, gram, n_docs, round(ln((1 + docs)::double / (1 + n_docs)) + 1, 6) as idf from d, t), r as (select *, row_number() over (partition by n order by n_docs desc, gram) as rank_in_n from s where idf between 1.5 and 5.0)
+  select n, gram, n_docs, idf, rank_in_n from r where rank_in_n <= 40""")
+def win_top_ngrams(t: Tables) -> DataFrame:
+    """WIN-07, AGG-38, AGG-39, STR-06: runs of one to five words without stop words, within a band of document frequency, the top forty of each length."""
+    words = F.filter(F.split(F.trim(F.regexp_replace(F.lower("job_title"), "[^a-z0-9]+", " ")), " "), lambda x: ~x.isin("the", "and", "of", "for", "in", "a", "to", "with", ""))
+    s = t.silver_postings.filter("job_title is not null").select(words.alias("w"))
+    docs = s.count()
+    runs = lambda n: F.when(F.size("w") >= n, F.transform(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.array_join(F.slice("w", i, n), " "))), lambda g: F.struct(F.lit(n).cast("bigint").alias("n"), g.alias("gram"))))
+    every = F.flatten(F.array_compact(F.array(*[runs(n) for n in range(1, 6)])))
+    d = s.select(F.inline(every)).groupBy("n", "gram").agg(F.count("*").alias("n_docs")).withColumn("idf", F.round(F.log(F.lit(1.0 + docs) / (1 + F.col("n_docs"))) + 1, 6)).filter("idf between 1.5 and 5.0")
+    return d.withColumn("rank_in_n", F.row_number().over(W.partitionBy("n").orderBy(F.desc("n_docs"), "gram")).cast("bigint")).filter("rank_in_n <= 40")
+
+
+@query("""with s as (select pass_file_id, json_extract_string(payload, '$.metadata.model_id') as model, json_extract_string(payload, '$.metadata.job_posting_id') as job, written_at from pass_results where json_valid(payload)) select model, job, count(*) as n_files, max(written_at) as newest from s group by 1, 2""")
+def src_model_outputs(t: Tables) -> DataFrame:
+    """SRC-17, SRC-18: model outputs by job and model, with the metadata that is there."""
+    g = lambda p: F.get_json_object("payload", p)
+    s = t.pass_results.filter(F.try_parse_json("payload").isNotNull()).select(g("$.metadata.model_id").alias("model"), g("$.metadata.job_posting_id").alias("job"), "written_at")
+    return s.groupBy("model", "job").agg(F.count("*").alias("n_files"), F.max("written_at").alias("newest"))
+
+
+@query("""with g as (select country_code, count(*) as n from silver_postings group by 1), s as (select *, (sum(n) over ())::bigint as total, count(*) over () as n_groups from g) select country_code, n, total, n_groups from s order by n desc, country_code limit 3""")
+def srt_slice(t: Tables) -> DataFrame:
+    """SRT-03, SRT-08, SRT-09: a slice of sorted groups; the totals are of all groups and not computed anew."""
+    g = t.silver_postings.groupBy("country_code").agg(F.count("*").alias("n"))
+    w = W.partitionBy()  # over one row per country
+    return g.select("country_code", "n", F.sum("n").over(w).alias("total"), F.count("*").over(w).alias("n_groups")).orderBy(F.desc("n"), F.asc_nulls_last("country_code")).limit(3)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from siltstone.functions import coerce, text
+from siltstone.functions import coerce, flatten as flat, text
 from siltstone.functions.json_repair import repair_json
 from siltstone.functions.skills import DEFAULT, detect, flatten, match_terms
 from siltstone.plans.registry import Tables, query
@@ -250,21 +250,21 @@ def joi_company_bucket(t: Tables) -> DataFrame:
 _TERMS = ", ".join(f"('{f}', '{c}', '{x}')" for f, _, c, x in flatten(DEFAULT))
 
 
-@query(f"""with d(family, canonical, term) as (values {_TERMS}), j as (select record_id, ' ' || regexp_replace(lower(coalesce(job_title, '') || ' ' || coalesce(job_summary, '')), '[^a-z0-9_]+', ' ', 'g') || ' ' as w from silver_postings)
+@query(f"""with d(family, canonical, term) as (values {_TERMS}), j as (select record_id, ' ' || regexp_replace(lower(coalesce(job_title, '') || ' ' || coalesce(job_description_text, '')), '[^a-z0-9_]+', ' ', 'g') || ' ' as w from silver_postings)
   select distinct record_id, canonical, family from j join d on contains(j.w, ' ' || d.term || ' ')""")
 def joi_skill_terms(t: Tables) -> DataFrame:
     """JOI-09, STR-01 in SQL: texts joined with the catalog's terms by word."""
-    s = t.silver_postings.select("record_id", F.concat_ws(" ", F.coalesce("job_title", F.lit("")), F.coalesce("job_summary", F.lit(""))).alias("body"))
+    s = t.silver_postings.select("record_id", F.concat_ws(" ", F.coalesce("job_title", F.lit("")), F.coalesce("job_description_text", F.lit(""))).alias("body"))
     dim = t.spark.createDataFrame([(f, c, x) for f, _, c, x in flatten(DEFAULT)], "family string, canonical string, term string")
     return match_terms(s, "record_id", "body", dim)
 
 
-@query(f"""with d(family, canonical, term) as (values {_TERMS}), j as (select record_id, ' ' || regexp_replace(lower(coalesce(job_title, '') || ' ' || coalesce(job_summary, '')), '[^a-z0-9_]+', ' ', 'g') || ' ' as w from silver_postings),
+@query(f"""with d(family, canonical, term) as (values {_TERMS}), j as (select record_id, ' ' || regexp_replace(lower(coalesce(job_title, '') || ' ' || coalesce(job_description_text, '')), '[^a-z0-9_]+', ' ', 'g') || ' ' as w from silver_postings),
   h as (select distinct record_id, canonical, family from j join d on contains(j.w, ' ' || d.term || ' '))
   select j.record_id, coalesce(array_to_string(list_sort(list(distinct canonical) filter (where canonical is not null)), ','), '') as skills, coalesce(array_to_string(list_sort(list(distinct family) filter (where family is not null)), ','), '') as families from j left join h using (record_id) group by 1""")
 def str_skill_detection(t: Tables) -> DataFrame:
     """STR-01, UDF-01, PRJ-06: sorted distinct finds per posting, Arrow batches."""
-    s = detect(t.silver_postings.select("record_id", "job_title", "job_summary"), "job_title", "job_summary")
+    s = detect(t.silver_postings.select("record_id", "job_title", "job_description_text"), "job_title", "job_description_text")
     return s.select("record_id", F.array_join("skills_canonical", ",").alias("skills"), F.array_join("skills_families", ",").alias("families"))
 
 
@@ -422,3 +422,82 @@ def snk_fan_out(t: Tables) -> DataFrame:
     from siltstone.sources.sinks import fan_out
 
     return fan_out(t.companies.select("company_id"), "company_id", 20).select(F.col("batch_index").cast("bigint"), F.col("total_batches").cast("int"), F.size("ids").cast("bigint").alias("n"))
+
+
+def _flat_sql(spec: dict[str, str], section: str, prefix: str) -> str:
+    """SQL of a section's columns: plain values of the extraction pass, or values with confidence, evidence and source."""
+    out = []
+    for g, f, kind in flat.names(spec):
+        p = f"$.result.{section}.{g}.{f}"
+        text = f"nullif(trim(json_extract_string(payload, '{p}')), '')"
+        if prefix != "ext_":
+            value = f"nullif(trim(json_extract_string(payload, '{p}.value')), '')"
+            out += [f"{value} as {prefix}{f}", f"try_cast(json_extract_string(payload, '{p}.confidence') as double) as {prefix}{f}_confidence"]
+            out += [f"nullif(trim(json_extract_string(payload, '{p}.{k}')), '') as {prefix}{f}_{k}" for k in ("evidence", "source")]
+        elif kind == "boolean":
+            out.append(f"case lower({text}) when 'true' then true when 'yes' then true when '1' then true when 'false' then false when 'no' then false when '0' then false end as ext_{f}")
+        elif kind == "double":
+            out.append(f"try_cast(nullif(trim(translate({text}, ',$€£', '')), '') as double) as ext_{f}")
+        elif kind == "string":
+            out.append(f"{text} as ext_{f}")
+        else:
+            listed = f"case when {text} like '[%' then from_json({text}, '[\"VARCHAR\"]') else string_split({text}, ',') end"
+            out.append(f"list_filter(list_transform({listed}, lambda x: trim(x)), lambda x: x is not null and x <> '') as ext_{f}")
+    return ", ".join(out)
+
+
+def _section(name: str):
+    return F.get_json_object("payload", f"$.result.{name}")
+
+
+@query(f"select pass_file_id, {_flat_sql(flat.EXTRACTION, 'extraction', 'ext_')} from pass_results where json_valid(payload)")
+def prj_ext(t: Tables) -> DataFrame:
+    """PRJ-16: the extraction pass as flat columns."""
+    return t.pass_results.filter(F.try_parse_json("payload").isNotNull()).select("pass_file_id", *flat.extraction(_section("extraction")))
+
+
+@query(f"select pass_file_id, {_flat_sql(flat.INFERENCE, 'inference', 'inf_')} from pass_results where json_valid(payload)")
+def prj_inf(t: Tables) -> DataFrame:
+    """PRJ-17: the inference pass as a hundred flat columns."""
+    return t.pass_results.filter(F.try_parse_json("payload").isNotNull()).select("pass_file_id", *flat.inference(_section("inference")))
+
+
+_SUMMARY = ", ".join(f"json_extract_string(payload, '$.result.summary.{f}') as anl_{f}" for f in flat.SUMMARY.split())
+
+
+@query(f"select pass_file_id, {_flat_sql(flat.ANALYSIS, 'analysis', 'anl_')}, {_SUMMARY} from pass_results where json_valid(payload)")
+def prj_anl(t: Tables) -> DataFrame:
+    """PRJ-18: the analysis pass and its summary as 124 flat columns."""
+    return t.pass_results.filter(F.try_parse_json("payload").isNotNull()).select("pass_file_id", *flat.analysis(_section("analysis"), _section("summary")))
+
+
+@query("""select job_id, model_name, pass_num, cost_usd from enriched_jobs where lower(coalesce(case pass_num when 1 then work_model when 2 then seniority_level end, 'pending')) in ('pending', 'in_progress', 'failed')""")
+def fil_not_completed(t: Tables) -> DataFrame:
+    """FIL-08: rows whose state isn't completed; a missing answer is pending."""
+    state = F.lower(F.coalesce(F.when(F.col("pass_num") == 1, F.col("work_model")).when(F.col("pass_num") == 2, F.col("seniority_level")), F.lit("pending")))
+    return t.enriched_jobs.filter(state.isin("pending", "in_progress", "failed")).select("job_id", "model_name", "pass_num", "cost_usd")
+
+
+@query("""with n as (select max(received_at) as now from company_messages) select delivery_id, received_at < now - interval 30 minute or receive_count >= 3 as is_orphaned from company_messages, n""")
+def fil_orphaned(t: Tables) -> DataFrame:
+    """FIL-11, STM-07: locks held longer than half an hour, or by a holder that has ended."""
+    from siltstone.streaming.micro_batches import is_orphaned
+
+    now = t.company_messages.agg(F.max("received_at")).first()[0]  # one value
+    return t.company_messages.select("delivery_id", is_orphaned(F.col("received_at"), F.lit(now), F.col("receive_count") >= 3).alias("is_orphaned"))
+
+
+@query("""with w as (select distinct lower(trim(job_title)) as term from silver_postings where job_title is not null) select term, regexp_matches(term, '^[0-9.,%$€£ ]+$') or regexp_matches(term, '\\b(years?|months?|benefits?|salary|team|company|office)\\b') or length(regexp_replace(term, '[^a-z]', '', 'g')) < 2
+  or len(list_filter(string_split(term, ' '), lambda x: x not in ('work', 'working', 'good', 'strong', 'great', 'experience', 'skills', 'ability', 'knowledge'))) = 0 as is_generic from w""")
+def fil_non_tech(t: Tables) -> DataFrame:
+    """FIL-15: terms that are probably no technology: figures, words of the trade of hiring, or generic words only."""
+    return t.silver_postings.filter("job_title is not null").select(F.lower(F.trim("job_title")).alias("term")).distinct().select("term", text.probably_non_tech(F.col("term")).alias("is_generic"))
+
+
+@query("""with p as (select pass_file_id, unnest(from_json(json_extract(payload, '$.result.extraction.skills_classified.must_have_soft_skills'), '["VARCHAR"]')) as skill from pass_results where json_valid(payload))
+  select lower(trim(skill)) as skill, count(*) as n from p group by 1""")
+def agg_soft_skills(t: Tables) -> DataFrame:
+    """AGG-10: soft skills counted straight from the answers' JSON."""
+    c = F.get_json_object("payload", "$.result.extraction.skills_classified.must_have_soft_skills")
+    p = t.pass_results.filter(F.try_parse_json("payload").isNotNull()).select(F.explode(F.from_json(c, "array<string>")).alias("skill"))
+    return p.groupBy(F.lower(F.trim("skill")).alias("skill")).agg(F.count("*").alias("n"))

@@ -136,3 +136,27 @@ def enrich(jobs: DataFrame, call, pass_num: int) -> DataFrame:
             yield pd.DataFrame({"job_id": pdf["job_id"], "pass_num": pass_num, "answer": [a for a, _ in got], "tokens": [n for _, n in got]})
 
     return jobs.select("job_id", "prompt").mapInPandas(run, "job_id bigint, pass_num int, answer string, tokens int")
+
+
+def is_orphaned(taken_at: Column, now: Column, ended: Column, minutes: int = 30) -> Column:
+    """Whether a lock is held longer than `minutes`, or its holder has ended or isn't there (null)."""
+    return (taken_at < now - F.expr(f"interval {int(minutes)} minutes")) | F.coalesce(ended, F.lit(True))
+
+
+def release_orphans(locks: DataFrame, holders: DataFrame, now: Column, minutes: int = 30) -> DataFrame:
+    """The locks (holder, taken_at, ...) that stay: without those of holders that are unknown, have ended, or hold too long."""
+    known = holders.groupBy("holder").agg(F.bool_or("ended").alias("_ended"))
+    return locks.join(known, "holder", "left").filter(~is_orphaned(F.col("taken_at"), now, F.col("_ended"), minutes)).drop("_ended")
+
+
+def with_retries(call, tries: int = 3, first: float = 1.0, wait=None):
+    """Calls until it succeeds, waiting twice as long after each failure; the last failure is raised."""
+    import time
+
+    for n in range(tries):
+        try:
+            return call()
+        except Exception:
+            if n == tries - 1:
+                raise
+            (wait or time.sleep)(first * 2**n)

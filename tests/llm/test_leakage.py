@@ -77,11 +77,23 @@ def test_odd_rows(spark):
     assert leakage.leaks(twice, spark.createDataFrame([(1, " ".join(w), "x")], ITEM)).count() == 1
 
 
-def test_too_many_items_is_an_error(spark):
-    import pytest
-
-    with pytest.raises(ValueError):
-        run(spark, {1: "a", 2: "b"}, {1: "a"}, max_items=1)
+def test_items_in_blocks(spark):
+    """However small the blocks of items are, the result is the same."""
+    import random
+
+    rnd = random.Random(11)
+    items = {i: " ".join(f"w{rnd.randrange(4000)}" for _ in range(60)) for i in range(5)}
+    docs = {i: f"before {t} after" for i, t in items.items()} | {9: "nothing of it"}
+    assert run(spark, docs, items, block=2) == run(spark, docs, items) == {(i, i) for i in items}
+
+
+def test_long_runs_with_one_word_replaced():
+    """A passage of 300 words with one replaced is one run, wherever the word stands."""
+    for at in (150, 250):
+        a = np.arange(300, dtype=np.uint32)
+        b = a.copy()
+        b[at] = 9999
+        assert leakage.run_length(a, b, np.ones(300, np.int64)) == 300
 
 
 def test_answers(spark):

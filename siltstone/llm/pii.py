@@ -36,7 +36,7 @@ from siltstone.runtime import Scratch
 
 KINDS = ("email", "phone", "id_number", "street_address", "person_name")
 COUNTERS = 1 << 22  # of hashed words
-TRAINING = 60_000  # spans the classifier is fitted to, at most
+TRAINING = 20_000  # spans the classifier is fitted to, at most
 HASHED = 1 << 12  # hashed words of contexts, per kind
 
 # Words that are no part of a person's name: kinds of streets and places, firms, functions, products.
@@ -87,11 +87,49 @@ _BEFORE_NAME = re.compile(rf"(?<![\w@.'’-]){_NAME}{_SP}$")
 # Cheap anchors: the full patterns are tried only around them.
 _AT = re.compile(r"@|[(\[{](?:at|@)[)\]}]|\sat\s(?=\S+\sdot\s)", re.IGNORECASE)
 _DIGITS = re.compile(r"\d[\d \xa0\u202f.()/-]{4,}\d")
-_PLACE = re.compile(
-    rf"\d[A-Za-z]?,?{_SP}(?:(?:bis|ter),?{_SP})?(?:[NSEW]\.{_SP})?(?:{_NAME}{_SP}|rue|avenue|boulevard|chemin|place|allée|quai|impasse|cours)"
-    rf"|(?:straße|strasse|str\.|weg|gasse|platz|allee|ufer|damm|ring|Straße|Weg|Allee|Platz){_SP}?\d"
-    rf"|(?:[Cc]alle|C/|[Aa]venida|Avda|Av\.|[Pp]laza|[Pp]aseo|[Cc]amino|[Rr]onda){_SP}?(?:de{_SP}la{_SP}|del{_SP}|de{_SP})?[{_UP}]"
-)
+_NUMBER = re.compile(r"\d{1,5}")
+# What follows a number, stands before it, or stands somewhat before it in an address.
+_STREET_AFTER = re.compile(rf"[A-Za-z]?,?{_SP}(?:(?:bis|ter),?{_SP})?(?:[NSEW]\.{_SP})?(?:{_NAME}{_SP}|rue|avenue|boulevard|chemin|place|allée|quai|impasse|cours)")
+_STREET_BEFORE = ("straße", "strasse", "str.", "weg", "gasse", "platz", "allee", "ufer", "damm", "ring")
+_STREET_ABOUT = ("calle", "c/", "avenida", "avda", "av.", "plaza", "paseo", "camino", "ronda")
+_LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+
+
+def _addresses(text: str, back: int = 128, ahead: int = 200) -> Iterator[re.Match]:
+    """Street addresses: every form has a number, so the full pattern is tried only around numbers with a sign of a street."""
+    done = 0
+    for n in _NUMBER.finditer(text):
+        a, b = n.span()
+        if a < done:
+            continue
+        head = text[max(0, a - back) : a].lower()
+        if head.rstrip(" \xa0\u202f").endswith(_STREET_BEFORE) or _STREET_AFTER.match(text, b) or any(k in head for k in _STREET_ABOUT):
+            limit = min(len(text), b + ahead)
+            for m in ADDRESS.finditer(text, max(done, a - back), limit):
+                # one that reaches the end of the stretch is matched again on the whole text
+                m = (ADDRESS.match(text, m.start()) or m) if m.end() > limit - 8 else m
+                done = m.end()
+                yield m
+
+
+def _mails(text: str) -> Iterator[re.Match]:
+    """E-mail addresses of any length: from each sign of one back to where its local part begins."""
+    low = text.lower()
+    if "@" not in low and "at]" not in low and "at)" not in low and "at}" not in low and "dot" not in low:
+        return
+    done = 0
+    for sign in _AT.finditer(text):
+        end = sign.start()
+        if end and text[end - 1] in " \xa0\u202f":
+            end -= 1
+        start = end
+        while start > done and text[start - 1] in _LOCAL_CHARS:
+            start -= 1
+        while start < end and not text[start].isalnum():
+            start += 1
+        if start >= done and (m := EMAIL.match(text, start)):
+            done = m.end()
+            yield m
 
 
 def _near(anchor: re.Pattern, pattern: re.Pattern, text: str, back: int, ahead: int) -> Iterator[re.Match]:
@@ -109,9 +147,13 @@ _CUES = {
     "phone": r"(?:\btel|phone|\bcall|\btext|telefon|teléfono|tél|llama|appelez|mobile?|móvil|handy|reach|unter|fax|whatsapp|[|,/>])[^.!?\d]{0,14}[.:]?[^\w]{0,4}$",
     "id_number": r"(?:ssn|social security|tax id|itin|cpf|nino|ni number|national insurance(?: no\.?)?|idnr\.?|steuer-?id(?:nr\.?)?|nir|sécurité sociale|insee|dni|nie|nif|documento|ausweis\w*|passport|id number)(?: number| no\.?| nr\.?| n[º°])?[\s:]*$",
     "street_address": r"(?:\bat|address|anschrift|adresse|dirección|domicilio|\bau|\ben|(?:in|an) der|wohnhaft|\bto)[^.!?]{0,25}$",
-    "person_name": r"(?:recruiter|kontakt|contact|contacto|responsable|ansprechperson|ansprechpartner(?:in)?|hiring manager|candidate|manager|name|nombre|nom|ask for|spoke to|demandez|preguntar? por|pregunte por|frag(?:en|t) nach|hablé con|\bwith|\bby|\bmit|\bcon|\bpor|\bavec|\bpar|\bvon|\bdr\.|\bmr\.?|(?<!\d\s)\bms\.?|\bmrs\.?|\bfrau|\bherr|\bsr\.|\bsra\.|\bmme|(?<!\d\s)(?<![\d-])\bm\.)\s*:?\s*$",
 }
 CUES = {k: re.compile(v, re.IGNORECASE) for k, v in _CUES.items()}
+# Words, alone or in twos, that come before a person's name: roles, titles, and words that lead to people.
+CALLED = frozenset(
+    "recruiter|kontakt|contact|contacto|responsable|ansprechperson|ansprechpartner|ansprechpartnerin|manager|candidate|name|nombre|nom|ask for|spoke to|demandez|pregunta por|preguntar por|pregunte por|fragen nach|"
+    "hablé con|with|by|mit|con|por|avec|par|von|dr.|mr|mr.|ms|ms.|mrs|mrs.|frau|herr|sr.|sra.|mme|m.".split("|")
+)
 # Labels of numbers that identify things, not people.
 AGAINST = re.compile(r"(?:invoice|order|reference|ref|code|build|version|ticket|requisition|\bip|section|\bjob|isbn|sku|rechnung|bestellung|auftrag|factura|facture|pedido|commande|referencia|référence)(?:\s(?:no|nr|number|string|code|n[º°])\b\.?)?\W{0,3}$", re.IGNORECASE)
 AFTER_NO = {
@@ -149,6 +191,8 @@ def _inside(text: str, a: int) -> bool:
 
 def letters(word: str) -> str:
     """The letters of a word, small and without accents."""
+    if word.isascii() and word.isalpha():
+        return word.lower()
     return "".join(c for c in unicodedata.normalize("NFKD", word).casefold() if c.isalpha())
 
 
@@ -182,13 +226,12 @@ def spans(text: str) -> list[tuple[str, int, int, str, str]]:
         votes = first + _sign(bool(CUES[kind].search(before))) + _sign(False, bool(AGAINST.search(before))) + _sign(bool(AFTER_YES[kind].match(after))) + _sign(False, no is not None and bool(no.match(after)))
         out.append((kind, a, b, votes, "\x1d".join(around_words(text, a, b))))
 
-    if _AT.search(text):
-        for m in EMAIL.finditer(text):
-            t = m.group(0)
-            local = re.split(r"@|\s?[(\[{](?:at|@)[)\]}]\s?|\sat\s", t, maxsplit=1, flags=re.IGNORECASE)[0]
-            mails.append(letters(local))
-            good = bool(re.search(r"[A-Za-z]{2,}$", t)) and bool(re.search(r"[A-Za-z]", local))
-            add("email", m.start(), m.end(), _sign(good, not good) + _sign("@" in t, not re.search("[A-Za-z]", local)))
+    for m in _mails(text):
+        t = m.group(0)
+        local = re.split(r"@|\s?[(\[{](?:at|@)[)\]}]\s?|\sat\s", t, maxsplit=1, flags=re.IGNORECASE)[0]
+        mails.append(letters(local))
+        good = bool(re.search(r"[A-Za-z]{2,}$", t)) and bool(re.search(r"[A-Za-z]", local))
+        add("email", m.start(), m.end(), _sign(good, not good) + _sign("@" in t, not re.search("[A-Za-z]", local)))
     for m in _near(_DIGITS, PHONE, text, 3, 3):
         t = m.group(0)
         plan = bool(_PLAN.fullmatch(t))
@@ -204,23 +247,31 @@ def spans(text: str) -> list[tuple[str, int, int, str, str]]:
         if called and not lettered and _PLAN.fullmatch(t):
             continue
         add("id_number", m.start(), m.end(), _sign(lettered, odd) + "0")
-    for m in _near(_PLACE, ADDRESS, text, 256, 512):
+    for m in _addresses(text):
         number = re.search(r"\d+", m.group(0))
         add("street_address", m.start(), m.end(), _sign(True, int(number.group(0)) > 20000) + "0")
+    after_yes, after_no = AFTER_YES["person_name"], AFTER_NO["person_name"]
     for m in PERSON.finditer(text):
         t, a, b = m.group(1), m.start(1), m.end(1)
         first, last = first_and_last(t)
         x, y = letters(first), letters(last)
-        mailed = any((len(y) > 2 and y in g) or (len(x) > 2 and x in g) for g in mails)
+        mailed = bool(mails) and any((len(y) > 2 and y in g) or (len(x) > 2 and x in g) for g in mails)
+        called, followed = _called(text, a), after_yes.match(text, b) is not None
         # two capital words apart by a comma are mostly a list: such a name needs a cue on either side, or an address
-        if "," in t and not (mailed or AFTER_YES["person_name"].match(text, b) or CUES["person_name"].search(text[max(0, a - 48) : a])):
+        if "," in t and not (mailed or called or followed):
             continue
         bad = first in _NO_NAME or last in _NO_NAME
         inside = len(x) == 1 and _inside(text, a)
-        add("person_name", a, b, "???" + _sign(mailed and not inside, bad or inside))
+        out.append(("person_name", a, b, "???" + _sign(mailed and not inside, bad or inside) + _sign(called) + _sign(followed) + _sign(False, after_no.match(text, b) is not None), "\x1d".join(around_words(text, a, b))))
     return out
 
 
+def _called(text: str, a: int) -> bool:
+    """Whether a cue of names stands before a place."""
+    words = text[max(0, a - 40) : a].rpartition("\n")[2].rpartition(">")[2].lower().replace(":", " ").split()
+    return bool(words) and (words[-1] in CALLED and not (words[-1] in ("ms", "m.") and len(words) > 1 and words[-2][-1:].isdigit()) or " ".join(words[-2:]) in CALLED)
+
+
 def _counter(word: str) -> int:
     return zlib.crc32(word.encode()) % COUNTERS
 

@@ -132,11 +132,11 @@ def _mails(text: str) -> Iterator[re.Match]:
             yield m
 
 
-def _near(anchor: re.Pattern, pattern: re.Pattern, text: str, back: int, ahead: int) -> Iterator[re.Match]:
+def _near(anchors: list[tuple[int, int]], pattern: re.Pattern, text: str, back: int, ahead: int) -> Iterator[re.Match]:
     """Matches of a pattern that touch the surroundings of its anchors, each once."""
     done = 0
-    for a in anchor.finditer(text):
-        for m in pattern.finditer(text, max(done, a.start() - back), min(len(text), a.end() + ahead)):
+    for start, end in anchors:
+        for m in pattern.finditer(text, max(done, start - back), min(len(text), end + ahead)):
             done = m.end()
             yield m
 
@@ -232,13 +232,14 @@ def spans(text: str) -> list[tuple[str, int, int, str, str]]:
         mails.append(letters(local))
         good = bool(re.search(r"[A-Za-z]{2,}$", t)) and bool(re.search(r"[A-Za-z]", local))
         add("email", m.start(), m.end(), _sign(good, not good) + _sign("@" in t, not re.search("[A-Za-z]", local)))
-    for m in _near(_DIGITS, PHONE, text, 3, 3):
+    numbers = [n.span() for n in _DIGITS.finditer(text)]
+    for m in _near(numbers, PHONE, text, 3, 3):
         t = m.group(0)
         plan = bool(_PLAN.fullmatch(t))
         n = sum(c.isdigit() for c in t)
         spaced = bool(re.search(r"[ \xa0.()/-]", t))
         add("phone", m.start(), m.end(), _sign(plan and 9 <= n <= 15, not plan) + _sign(t[0] == "+" or spaced, bool(CUES["id_number"].search(text[max(0, m.start() - 48) : m.start()]))))
-    for m in _near(_DIGITS, ID, text, 4, 4):
+    for m in _near(numbers, ID, text, 4, 4):
         t = m.group(0)
         before = text[max(0, m.start() - 48) : m.start()]
         called = bool(CUES["phone"].search(before)) and not CUES["id_number"].search(before)
@@ -315,7 +316,7 @@ def word_statistics(docs: DataFrame, proposed: DataFrame) -> np.ndarray:
     met = proposed.filter(F.size(names) > 0).mapInPandas(words, "w int, place int, lot int")
     met = met.groupBy("w").agg(*[F.bit_count(F.bit_or(F.when(F.col("place") == p, F.expr("shiftleft(1L, lot)")))).alias(f"partners{p}") for p in (0, 1)])
     # texts per word, written small anywhere and as part of a proposed name
-    small = F.array_distinct(F.regexp_extract_all("text", F.lit(r"(?<![\w@.+'’-])(\p{Ll}[\p{L}'’-]+)(?![\w@+]|\.\w|\s?[(\[{]|\s(?:at|dot)\s)"), 1))
+    small = F.array_distinct(F.regexp_extract_all("text", F.lit(r"(?<![\w@.+'’-])([a-zß-öø-ÿ][a-zß-öø-ÿ'’-]++)(?![\w@+]|\.\w|\s?[(\[{]|\s(?:at|dot)\s)"), 1))
     lower = docs.filter("text is not null").select(F.explode(small).alias("t")).select(F.pmod(F.crc32(F.regexp_replace("t", "’", "'").cast("binary")), F.lit(COUNTERS)).cast("int").alias("w"))
     lower = lower.groupBy("w").agg(F.count("*").alias("n_small"))
     both = F.transform(names, lambda x: F.element_at(F.split(x, UNIT), -1))
@@ -471,17 +472,25 @@ def score(weights: dict[str, np.ndarray], kind: str, pattern: str, context: str,
     return 1 / (1 + np.exp(-min(30.0, max(-30.0, z))))
 
 
+def reachable(weights: dict[str, np.ndarray], kind: str, pattern: str, least: float) -> bool:
+    """Whether any context can lift spans of a vote pattern to `least`."""
+    if kind not in weights:
+        return False
+    x = features(pattern, kind, "\x1d", "")
+    w = weights[kind]
+    best = max(0.0, float(w[1 + 3 * (len(x) - 4) :].max(initial=0.0)))
+    return float(w[x[:-3]].sum()) + 1.5 * best >= np.log(least / (1 - least))
+
+
 def choose(line: str, weights: dict[str, np.ndarray], known: dict, least: float = 0.5) -> list[tuple[str, int, int, str]]:
-    """The spans of one document that the classifier accepts, overlaps resolved. known: a worker's memory of scores."""
+    """The spans of one document that the classifier accepts, overlaps resolved. known: a worker's memory of the vote patterns that can be accepted."""
     got = []
     for s in line.split(LINE):
         kind, a, b, p, c, t = s.split(UNIT, 5)
-        key = (p, c, tuple(features(p, kind, c, t)[-1:]))
-        if key not in known:
-            if len(known) > 200_000:
-                known.clear()
-            known[key] = score(weights, kind, p, c, t)
-        if (x := known[key]) >= least:
+        if p not in known:
+            known[p] = reachable(weights, kind, p, least)
+        # most spans are out by their votes, whatever words are around them
+        if known[p] and (x := score(weights, kind, p, c, t)) >= least:
             got.append((-round(x, 3), int(a) - int(b), int(a), int(b), kind, t))
     taken: list[tuple[int, int]] = []
     out = []

@@ -52,13 +52,15 @@ def test_reducers(spark):
     long = spark.createDataFrame([(1, "a", "x"), (1, "b", "x"), (1, "c", "y"), (1, "d", None), (2, "a", None), (3, "a", "p"), (3, "b", "q")], "k int, model string, value string")
     c = {r.k: r for r in reducers.categorical(long, ["k"]).collect()}
     assert (c[1].consensus_value, round(c[1].agreement_rate, 3), c[1].outliers, c[1].is_consensus) == ("x", 0.667, ["c", "d"], True)
-    assert (c[2].consensus_value, c[2].agreement_rate, c[2].outliers, c[2].is_consensus) == (None, 0.0, ["a"], False) and c[3].consensus_value == "p"
+    assert (c[2].consensus_value, c[2].agreement_rate, c[2].outliers, c[2].is_consensus) == (None, 0.0, ["a"], False)
+    # a rate below the threshold gives no value; the mode and the distribution stay
+    assert (c[3].consensus_value, c[3].mode, c[3].distribution) == (None, "p", {"p": 1, "q": 1})
     n = spark.createDataFrame([(1, "a", 10.0), (1, "b", 11.0), (1, "c", None), (2, "a", None), (3, "a", -5.0), (3, "b", -50.0), (4, "a", 7.0)], "k int, model string, value double")
     n = {r.k: r for r in reducers.numeric(n, ["k"]).collect()}
     assert n[1].is_consensus and n[1].median_value == 10.5 and n[2].is_consensus and n[3].is_consensus and n[4].std == 0 and n[1].outliers == ["c"]
     b = spark.createDataFrame([(1, "a", True), (1, "b", False), (2, "a", None)], "k int, model string, value boolean")
     b = {r.k: r for r in reducers.boolean(b, ["k"]).collect()}
-    assert b[1].consensus_value is True and b[1].outliers == ["b"] and not b[1].is_consensus and b[2].consensus_value is None
+    assert b[1].consensus_value is None and b[1].mode is True and b[1].outliers == ["b"] and not b[1].is_consensus and b[2].consensus_value is None
     items = spark.createDataFrame([(1, "a", ["X", "y"]), (1, "b", ["x "]), (1, "c", []), (2, "a", []), (2, "b", None), (3, "a", ["p"]), (3, "b", ["q"]), (3, "c", ["r"])], "k int, model string, value array<string>")
     items = {r.k: r for r in reducers.lists(items, ["k"]).collect()}
     assert items[1].consensus_items == ["x"] and items[1].outliers == ["c"] and items[2].is_consensus and items[2].avg_jaccard == 1.0 and not items[3].is_consensus
@@ -70,6 +72,26 @@ def test_reducers(spark):
     assert reducers.categorical(long.limit(0), ["k"]).count() == 0
 
 
+def test_flattened_passes(spark):
+    import json
+
+    from siltstone.functions import flatten
+
+    section = {"seniority_and_role": {"seniority_level": {"value": " senior ", "confidence": 0.8, "evidence": "x", "source": " "}, "job_family": "plain", "sub_specialty": {"value": ["a ", None, ""]}}, "stack_and_cloud": None}
+    one = {"compensation": {"salary_disclosed": "yes", "salary_min": "$1,200", "salary_currency": " "}, "skills_classified": {"must_have_hard_skills": "sql, , spark", "certifications_mentioned": ["c", None]}, "context": []}
+    rows = [(1, json.dumps(section), json.dumps(one)), (2, None, None), (3, "[1]", "broken {")]
+    df = spark.createDataFrame(rows, "id int, a string, b string")
+    inf = {r.id: r for r in df.select("id", *flatten.inference(F.col("a"))).collect()}
+    assert len(inf[1]) == 101 and (inf[1].inf_seniority_level, inf[1].inf_seniority_level_confidence, inf[1].inf_seniority_level_evidence, inf[1].inf_seniority_level_source) == ("senior", 0.8, "x", None)
+    assert inf[1].inf_job_family is None and inf[1].inf_sub_specialty == '["a"]' and inf[1].inf_primary_cloud is None
+    ext = {r.id: r for r in df.select("id", *flatten.extraction(F.col("b"))).collect()}
+    assert (ext[1].ext_salary_disclosed, ext[1].ext_salary_min, ext[1].ext_salary_currency, ext[1].ext_must_have_hard_skills, ext[1].ext_certifications_mentioned) == (True, 1200.0, None, ["sql", "spark"], ["c"])
+    anl = df.select("id", *flatten.analysis(F.col("a"), F.lit('{"strengths": "s"}'))).first()
+    assert len(anl) == 125 and anl.anl_strengths == "s"
+    for got in (inf, ext):
+        assert all(v is None for i in (2, 3) for k, v in got[i].asDict().items() if k != "id")
+
+
 ROWS = "job_posting_id string, scraped_at timestamp, year string, month string, v int"
 
 

@@ -24,6 +24,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -348,7 +349,7 @@ def settle(votes: str, name: str, statistics: np.ndarray, given: int = 16, famil
     return votes.replace("???", small + _sign(initial or x & given > 0) + _sign(y & family > 0), 1)
 
 
-def settled(proposed: DataFrame, statistics: Broadcast, given: int = 16, family: int = 32) -> DataFrame:
+def settled(proposed: DataFrame, statistics: Broadcast) -> DataFrame:
     """Proposed spans with all votes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -358,35 +359,45 @@ def settled(proposed: DataFrame, statistics: Broadcast, given: int = 16, family:
                 lines = []
                 for x in s.split(LINE):
                     k, a, b, v, c, t = x.split(UNIT, 5)
-                    lines.append(UNIT.join((k, a, b, settle(v, t, statistics.value, given, family), c, t)) if k == "person_name" else x)
+                    lines.append(UNIT.join((k, a, b, settle(v, t, statistics.value), c, t)) if k == "person_name" else x)
                 out.append(LINE.join(lines))
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "spans": out})
 
     return proposed.mapInPandas(run, "doc_id bigint, spans string")
 
 
-def learn_names(spans_of: DataFrame, soft: dict[str, float], statistics: np.ndarray, sure: float = 0.9) -> np.ndarray:
-    """The statistics with a gazetteer learned from spans that are surely names: bit 16 given, bit 32 family names. A word that
-    is also met surely on the other side, or written small, is learned where it was met."""
-    strong = {p for p, q in soft.items() if _kind(p) == "person_name" and q >= sure}
+def words_of_names(proposed: DataFrame, statistics: Broadcast) -> DataFrame:
+    """(w, bit, p, n): how often a word is met as a given (bit 16) or family name (32) in proposed names of vote pattern p, with
+    the first round's votes: words that recombine. Each name has one family name, so those count the names."""
 
-    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = set()
+            rows: Counter = Counter()
             for s in pdf["spans"]:
                 for x in s.split(LINE):
-                    k, _, _, p, _, t = x.split(UNIT, 5)
-                    if p in strong:
+                    if x.startswith("person_name"):
+                        _, _, _, v, _, t = x.split(UNIT, 5)
+                        p = settle(v, t, statistics.value, 4, 8)
                         first, last = first_and_last(t)
                         if len(first.rstrip(".")) > 1:
-                            rows.add((_counter(first), 16))
-                        rows.add((_counter(last), 32))
-            yield pd.DataFrame(list(rows), columns=["w", "bit"])
+                            rows[_counter(first), 16, p] += 1
+                        rows[_counter(last), 32, p] += 1
+            yield pd.DataFrame([(*k, n) for k, n in rows.items()], columns=["w", "bit", "p", "n"])
+
+    return proposed.mapInPandas(run, "w int, bit int, p string, n bigint").groupBy("w", "bit", "p").agg(F.sum("n").alias("n"))
+
+
+def learn_names(words: DataFrame, statistics: np.ndarray, sure: float = 0.9, share: float = 0.1) -> np.ndarray:
+    """The statistics with a gazetteer learned from words_of_names: bit 16 given, bit 32 family names. A word is learned where
+    at least a share of the spans that have it there are surely names: a product or firm that follows a cue now and then isn't one."""
+    counts = [(r.p, r.n) for r in words.filter("bit = 32").groupBy("p").agg(F.sum("n").alias("n")).orderBy("p").collect()]
+    strong = [p for p, q in estimate(counts, seeds=True).items() if q >= sure]
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"k": [int(pdf["k"].iloc[0])], "w": [pdf["w"].to_numpy(np.int32).tobytes()], "bits": [pdf["bits"].to_numpy(np.uint8).tobytes()]})
 
-    met = spans_of.mapInPandas(words, "w int, bit int").groupBy("w").agg(F.bit_or("bit").alias("bits")).withColumn("k", F.expr("w div 65536"))
+    met = words.groupBy("w", "bit").agg(F.sum(F.when(F.col("p").isin(strong), F.col("n")).otherwise(0)).alias("strong"), F.sum("n").alias("n"))
+    met = met.filter((F.col("strong") > 0) & (F.col("strong") >= share * F.col("n"))).groupBy("w").agg(F.bit_or("bit").alias("bits")).withColumn("k", F.expr("w div 65536"))
     out = statistics.copy()
     for r in met.groupBy("k").applyInPandas(pack, "k bigint, w binary, bits binary").collect():
         out[np.frombuffer(r.w, np.int32)] |= np.frombuffer(r.bits, np.uint8)
@@ -403,9 +414,11 @@ def _kind(pattern: str) -> str:
     return pattern.rstrip("+-0")
 
 
-def estimate(counts: list[tuple[str, int]], rounds: int = 60, prior: float = 0.05) -> dict[str, float]:
+def estimate(counts: list[tuple[str, int]], rounds: int = 60, prior: float = 0.05, seeds: bool = False) -> dict[str, float]:
     """Expectation-maximisation: the posterior of each pattern, from labelers independent given the truth. prior: the
-    weight, as a share of the spans, of the belief that a vote is right more often than wrong."""
+    weight, as a share of the spans, of the belief that a vote is right more often than wrong. Patterns that no labeler speaks
+    for are held to be false; they anchor what false means, else a corpus full of headings can settle with every span true.
+    seeds: so are names that neither an address nor a cue before them speaks for, for headings and firms recombine as names do."""
     out = {}
     for kind in KINDS:
         mine = [(p, n) for p, n in counts if _kind(p) == kind]
@@ -414,7 +427,8 @@ def estimate(counts: list[tuple[str, int]], rounds: int = 60, prior: float = 0.0
         votes = np.array([["-0+".index(c) for c in p[len(kind) :]] for p, _ in mine])
         n = np.array([c for _, c in mine], float)
         score = votes.sum(1) - votes.shape[1]
-        q = 1 / (1 + np.exp(-1.5 * score))
+        held = np.array(["+" not in (p[len(kind) + 3 : len(kind) + 5] if seeds else p[len(kind) :]) for p, _ in mine])
+        q = np.where(held, 0.0, 1 / (1 + np.exp(-1.5 * score)))
         w = prior * n.sum()
         belief = np.array([[0.05, 0.35, 0.6], [0.5, 0.4, 0.1]])  # of votes -, 0, + for true and for false spans
         for _ in range(rounds):
@@ -424,7 +438,7 @@ def estimate(counts: list[tuple[str, int]], rounds: int = 60, prior: float = 0.0
                 for s, mass in enumerate((q * n, (1 - q) * n)):
                     c = np.array([mass[votes[:, k] == v].sum() for v in range(3)]) + w * belief[s]
                     logs[s] += np.log(c / c.sum())[votes[:, k]]
-            q = 1 / (1 + np.exp(np.clip(logs[1] - logs[0], -50, 50)))
+            q = np.where(held, 0.0, 1 / (1 + np.exp(np.clip(logs[1] - logs[0], -50, 50))))
         out |= {p: float(x) for (p, _), x in zip(mine, q, strict=True)}
     return out
 
@@ -509,9 +523,9 @@ class Model:
         proposed = scratch.keep(propose(docs), "proposed")
         context = docs.sparkSession.sparkContext
         statistics = word_statistics(docs, proposed)
-        # first round: words that recombine; second: the names learned from it
-        before = scratch.keep(settled(proposed, context.broadcast(statistics), 4, 8), "before")
-        self.statistics = context.broadcast(learn_names(before, estimate(patterns(before)), statistics))
+        # first round: words that recombine, where an address or a cue speaks for them, too; second: the names learned from it
+        words = scratch.keep(words_of_names(proposed, context.broadcast(statistics)), "words")
+        self.statistics = context.broadcast(learn_names(words, statistics))
         self.spans = scratch.keep(settled(proposed, self.statistics), "spans")
         self.counts = patterns(self.spans)
         self.soft = estimate(self.counts)

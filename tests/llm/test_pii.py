@@ -92,3 +92,33 @@ def test_contexts_decide_where_votes_do_not():
 
 def test_first_and_last():
     assert pii.first_and_last("O’Brien, Emily") == ("emily", "o'brien") and pii.first_and_last("E. M. Weber") == ("e.", "weber")
+
+
+def _renamed_firms(n=1200, seed=8):
+    """Documents whose headings are firms of made-up words that recombine as names do, far more often than there are names."""
+    rnd = random.Random(seed)
+    heads, tails = [f"{a}{b}" for a in ("Wex", "Orm", "Thorn", "Quil", "Fen") for b in ("ora", "ton", "bek")], ["Joruba", "Jopelshi", "Joterwim", "Lekterba", "Grabapel", "Vanjojo"]
+    rows, want = [], set()
+    for i in range(n):
+        firm, other = f"{rnd.choice(heads)} {rnd.choice(tails)}", f"{rnd.choice(heads)} {rnd.choice(tails)}"
+        text = f"Offen: {firm} | apply. The plan of {other} is long. {rnd.choice(heads)} {rnd.choice(tails)}."
+        if i % 6 == 0:
+            g, f = rnd.choice(GIVEN), rnd.choice(FAMILY)
+            text += rnd.choice([f" Contact: {g} {f}, {pii.letters(g)}.{pii.letters(f)}@a.example", f" Please email our recruiter {g} {f} at {pii.letters(g)}.{pii.letters(f)}@a.example soon.", f" I spoke with {g} {f} yesterday."])
+            want.add((i, f"{g} {f}"))
+        rows.append((i, text))
+    return rows, want
+
+
+def test_firms_that_recombine_are_no_names(spark):
+    rows, want = _renamed_firms()
+    got = {(r.doc_id, r.pii_text) for r in pii.details(spark.createDataFrame(rows, "doc_id bigint, text string")).collect() if r.pii_kind == "person_name"}
+    assert len(got & want) >= 0.9 * len(want), sorted(want - got)[:5]
+    assert len(got & want) >= 0.9 * len(got), sorted(got - want)[:5]
+
+
+def test_spans_that_no_labeler_speaks_for_are_false():
+    counts = [("person_name0000000", 9000), ("person_name000-000", 4000), ("person_name0++0000", 9000), ("person_name0+++0+0", 300), ("person_name0++0+00", 400)]
+    soft, seeds = pii.estimate(counts), pii.estimate(counts, seeds=True)
+    assert soft["person_name0000000"] == soft["person_name000-000"] == 0
+    assert seeds["person_name0++0000"] == 0 and seeds["person_name0+++0+0"] > 0.9
